@@ -18,6 +18,16 @@ def order_value(order: Sequence[str]) -> Column:
     return F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
 
+def splittable_equal(left: Column, right: Column) -> Column:
+    """Key equality for a join with an aggregate on the right, where NULL equals NULL.
+
+    A plain equality would reuse the aggregate's own partitioning, and adaptive execution
+    splits a hot key only where a shuffle feeds the join directly. The null-safe form hashes
+    differently, which puts that shuffle, of the aggregated side, in.
+    """
+    return left.eqNullSafe(right)
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """First row per key in the given total order. NULL keys equal each other."""
     if not set(keys) <= set(df.columns):
@@ -52,7 +62,7 @@ def mark_repeats(
     repeated = df.groupBy(*renamed).agg(*aggs).filter("__n > 1")
     condition = F.lit(True)
     for i, key in enumerate(keys):
-        condition = condition & F.col(key).eqNullSafe(F.col(f"__key{i}"))
+        condition = condition & splittable_equal(F.col(key), F.col(f"__key{i}"))
     joined = df.join(repeated, condition, "left")
     flag = F.col("__n").isNotNull()
     if keep == "first":

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerwise.functions.names import normalise_brand
+from layerwise.operators.dedup import splittable_equal
 
 # A lookup side is broadcast only when counted to hold at most this many rows and bytes.
 BROADCAST_MAX_ROWS = 10_000
@@ -36,13 +37,23 @@ def brand_frame(spark: SparkSession, brands: Sequence[tuple[str, str]]) -> DataF
     return spark.createDataFrame(rows, "position int, file_name string, brand_code string")
 
 
-def _lookup(dim: DataFrame, key: Column) -> DataFrame:
-    """One row per key; of repeated keys the last one listed counts."""
-    return (
-        dim.groupBy(key.alias("__brand_key"))
+def _lookup(spark: SparkSession, dim: DataFrame | Sequence[tuple[str, str]], match: str) -> DataFrame:
+    """One code per match key, the last listed for a repeated key, broadcast if known small.
+
+    A configured list is measured here. A frame is measured with a bounded count.
+    """
+    listed = not isinstance(dim, DataFrame)
+    frame = brand_frame(spark, dim) if listed else dim
+    keyed = (
+        frame.groupBy(_key(match, F.col("file_name")).alias("__brand_key"))
         .agg(F.max_by("brand_code", "position").alias("__code"))
         .filter(F.col("__brand_key").isNotNull())
     )
+    if not listed:
+        return broadcast_if_small(keyed)
+    size = sum(len(name.encode()) + len(code.encode()) for name, code in dim)
+    small = len(dim) <= BROADCAST_MAX_ROWS and size <= BROADCAST_MAX_BYTES
+    return F.broadcast(keyed) if small else keyed
 
 
 def _key(match: str, value: Column) -> Column:
@@ -55,23 +66,29 @@ def _key(match: str, value: Column) -> Column:
 
 def enrich_brand(
     df: DataFrame,
-    dim: DataFrame,
+    dim: DataFrame | Sequence[tuple[str, str]],
     match: str = "normalised",
     brand: str = "BRAND",
     code: str = "BRAND_CODE",
     fallback: bool = True,
 ) -> DataFrame:
-    """Add the brand code; a brand that is not listed keeps its name unless ``fallback`` is off."""
-    lookup = broadcast_if_small(_lookup(dim, _key(match, F.col("file_name"))))
-    joined = df.join(lookup, _key(match, F.col(brand)) == F.col("__brand_key"), "left")
+    """Add the brand code; a brand that is not listed keeps its name unless ``fallback`` is off.
+
+    ``dim`` is the configured (file name, code) list, or a frame as of ``brand_frame``.
+    """
+    lookup = _lookup(df.sparkSession, dim, match)
+    joined = df.join(lookup, splittable_equal(_key(match, F.col(brand)), F.col("__brand_key")), "left")
     value = F.coalesce("__code", brand) if fallback else F.col("__code")
     return joined.withColumn(code, value).drop("__brand_key", "__code")
 
 
 def unmatched_brands(
-    df: DataFrame, dim: DataFrame, match: str = "normalised", brand: str = "BRAND"
+    df: DataFrame,
+    dim: DataFrame | Sequence[tuple[str, str]],
+    match: str = "normalised",
+    brand: str = "BRAND",
 ) -> DataFrame:
     """Distinct brands without an entry. Brands are reduced first, so the join is tiny."""
     names = df.select(brand).distinct()
-    lookup = _lookup(dim, _key(match, F.col("file_name")))
+    lookup = _lookup(df.sparkSession, dim, match)
     return names.join(lookup, _key(match, F.col(brand)) == F.col("__brand_key"), "left_anti")

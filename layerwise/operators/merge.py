@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from layerwise.operators.dedup import splittable_equal
 from layerwise.operators.schema import quoted
 
 
@@ -26,8 +27,7 @@ def one_per_key(
     """Source rows with usable keys, one per key.
 
     With ``latest`` the row with the greatest value of that column wins. Without, a repeated
-    key stops the job, since the update would depend on row order. The aggregate leaves the
-    rows partitioned by key, as the join that follows needs them.
+    key stops the job, since the update would depend on row order.
     """
     payload = [name for name in source.columns if name not in keys]
     row = F.struct(*payload) if payload else F.struct(F.lit(1).alias("__none"))
@@ -54,7 +54,9 @@ def _updated(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataF
         *[F.col(key).alias(f"__s_{key}") for key in keys],
         *[F.col(name).alias(f"__s_{name}") for name in changed],
     )
-    condition = reduce(Column.__and__, [F.col(key) == F.col(f"__s_{key}") for key in keys])
+    # the source has no NULL keys, so none of the target's matches
+    equal = [splittable_equal(F.col(key), F.col(f"__s_{key}")) for key in keys]
+    condition = reduce(Column.__and__, equal)
     matched = F.col(f"__s_{keys[0]}").isNotNull()
     columns = []
     for item in target.schema.fields:

@@ -55,6 +55,10 @@ def error_details(checked: Checked, group: Sequence[str]) -> DataFrame:
         for column, bad in check.parts:
             named = column if check.rule.kind in ("required_fields", "date_validation") else ""
             labelled.append((check.rule.error_type, named, bad))
+    if not labelled:
+        keys = checked.df.select(*group).limit(0)
+        none = {"error_type": F.lit(""), "error_column": F.lit(""), "n_bad": F.lit(0).cast("bigint")}
+        return keys.withColumns(none)
     counts = [F.count_if(bad).alias(f"__c{i}") for i, (_, _, bad) in enumerate(labelled)]
     per_group = checked.df.groupBy(*group).agg(*counts)
     entries = F.array(

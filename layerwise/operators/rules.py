@@ -19,6 +19,7 @@ from layerwise.config import DURATION_COLUMNS
 from layerwise.functions import casts
 from layerwise.operators.dedup import mark_repeats
 from layerwise.operators.schema import quoted
+from layerwise.session import lenient
 
 
 @dataclass(frozen=True)
@@ -111,17 +112,24 @@ def _duration(df: DataFrame, rule: Rule) -> Check:
     return Check(rule, (("", F.coalesce((value > limit) & (limit != 0), F.lit(False))),))
 
 
-def _condition(df: DataFrame, rule: Rule) -> Check:
+def _with_condition(df: DataFrame, rule: Rule, name: str) -> tuple[DataFrame, Check]:
+    """Evaluate a condition's text into a column of the frame.
+
+    The text is analysed without ANSI errors, so comparing a number with text that holds none
+    gives NULL, which the rule's NULL policy decides on, instead of stopping the job.
+    """
     if rule.null_policy not in ("pass", "fail"):
         raise ValueError(f"rule {rule.name}: null_policy must be 'pass' or 'fail'")
     try:
-        outcome = F.expr(rule.condition)
-        analysed = df.select(outcome.alias("outcome")).schema["outcome"].dataType
+        with lenient(df.sparkSession):
+            evaluated = df.withColumn(name, F.expr(rule.condition))
     except (AnalysisException, ParseException) as error:
-        return Check(rule, (), f"condition not usable: {error.getCondition()}")
-    if not isinstance(analysed, T.BooleanType):
-        return Check(rule, (), f"condition is {analysed.simpleString()}, not boolean")
-    return Check(rule, (("", ~F.coalesce(outcome, F.lit(rule.null_policy == "pass"))),))
+        return df, Check(rule, (), f"condition not usable: {error.getCondition()}")
+    kind = evaluated.schema[name].dataType
+    if not isinstance(kind, T.BooleanType):
+        return df, Check(rule, (), f"condition is {kind.simpleString()}, not boolean")
+    passed = F.coalesce(F.col(name), F.lit(rule.null_policy == "pass"))
+    return evaluated, Check(rule, (("", ~passed),))
 
 
 def _unknown(df: DataFrame, rule: Rule) -> Check:
@@ -133,7 +141,6 @@ COMPILERS: dict[str, Callable[[DataFrame, Rule], Check]] = {
     "required_fields": _required_fields,
     "date_validation": _date_validation,
     "duration": _duration,
-    "condition": _condition,
     "not_empty": _required_fields,
     "unknown": _unknown,
 }
@@ -189,7 +196,10 @@ def check_rules(
     checks: list[Check] = []
     columns = df.columns
     for i, rule in enumerate(rules):
-        if rule.kind != "uniqueness":
+        if rule.kind == "condition":
+            df, check = _with_condition(df, rule, f"__condition{i}")
+            checks.append(check)
+        elif rule.kind != "uniqueness":
             checks.append(COMPILERS[rule.kind](df, rule))
         elif not set(rule.columns) <= set(columns):
             checks.append(Check(rule, (), f"no column {', '.join(rule.columns)}"))

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from layerwise.operators.dedup import order_value
+from layerwise.operators.dedup import order_value, splittable_equal
+from layerwise.session import lenient
 
 
 @dataclass(frozen=True)
@@ -38,9 +39,8 @@ def config_filter(df: DataFrame, text: str | None) -> Filtered:
     if not text:
         return Filtered(df)
     try:
-        filtered = df.filter(F.expr(sql_filter_text(text)))
-        filtered.schema  # noqa: B018 - analyses the filter without running a job
-        return Filtered(filtered)
+        with lenient(df.sparkSession):
+            return Filtered(df.filter(F.expr(sql_filter_text(text))))
     except (AnalysisException, ParseException) as error:
         return Filtered(df, str(error.getCondition()))
 
@@ -80,6 +80,7 @@ def config_aggregate(
     if dropna:
         df = df.dropna(subset=list(keys))
     plain: list[Column] = []
+    ends: list[Column] = []
     medians: list[tuple[str, str]] = []
     outputs: list[str] = []
     for column, names in aggregates.items():
@@ -90,12 +91,16 @@ def config_aggregate(
             if name == "median":
                 medians.append((column, alias))
             else:
-                plain.append(_aggregate(df, column, name, order).alias(alias))
-    grouped = df.groupBy(*keys).agg(*plain) if plain else df.select(*keys).distinct()
-    for column, alias in medians:
-        middle = exact_median(df, keys, column, alias)
-        grouped = _join_on(grouped, middle, keys)
-    return grouped.select(*keys, *outputs)
+                chosen = ends if name in ("first", "last") else plain
+                chosen.append(_aggregate(df, column, name, order).alias(alias))
+    # ends sort their input by key, so they are kept out of the hash aggregate of the others
+    parts = [df.groupBy(*keys).agg(*group) for group in (plain, ends) if group]
+    parts += [exact_median(df, keys, column, alias) for column, alias in medians]
+    # every group has a size, while a group of missing values only has no median
+    first = parts[0] if plain or ends else df.select(*keys).distinct()
+    rest = parts[1:] if plain or ends else parts
+    joined = reduce(lambda left, right: _join_on(left, right, keys), rest, first)
+    return joined.select(*keys, *outputs)
 
 
 def _present(df: DataFrame, column: str) -> Column:
@@ -125,7 +130,7 @@ def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     """Join on keys that may be NULL, keeping the left keys."""
     renamed = right.withColumnsRenamed({key: f"__r_{key}" for key in keys})
     condition = reduce(
-        Column.__and__, [F.col(key).eqNullSafe(F.col(f"__r_{key}")) for key in keys]
+        Column.__and__, [splittable_equal(F.col(key), F.col(f"__r_{key}")) for key in keys]
     )
     return left.join(renamed, condition, how).drop(*[f"__r_{key}" for key in keys])
 

@@ -1,8 +1,7 @@
 """The daily flow: landing -> raw and silver -> gold -> target, with its logs.
 
 Every step rewrites exactly the partitions it has data for, so a step may be repeated, for a
-rerun or after lost work, without changing the outcome. The one append, into the target, is
-guarded by the ledger.
+rerun or after lost work, without changing the outcome. Only the logs are appended to.
 """
 
 from __future__ import annotations
@@ -49,33 +48,34 @@ def landing_to_silver(
     layout: Layout,
     settings: Settings,
     date: str | None = None,
-    file_names: Sequence[str] | None = None,
+    paths: Sequence[str] | None = None,
     copy_raw: bool = True,
 ) -> DataFrame:
     """Convert landing files to silver, copy them to raw, and return the file catalog.
 
+    All files of the landing folder, those of a date, or the ones at ``paths``.
+
     The catalog, one small row per file, is the only thing the driver collects, as it does for
     any file listing. Files of a table with the same delimiter and header are read in one
     scan, so the number of scans follows the number of layouts, not of files.
     """
-    catalog = land.landing_catalog(spark, layout.landing, settings.expected_tables, date)
-    if file_names is not None:
-        catalog = catalog.filter(F.col("file_name").isin(list(file_names)))
+    source = layout.landing if paths is None else list(paths)
+    catalog = land.landing_catalog(spark, source, settings.expected_tables, date)
     rows = catalog.collect()
     layouts: dict[tuple[str, str, str], list[str]] = {}
     for row in rows:
         if row.valid:
             layouts.setdefault((row.table_name, row.delimiter, row.header), []).append(row.path)
     by_table: dict[str, list[DataFrame]] = {}
-    for (table, delimiter, header), paths in layouts.items():
-        frame = land.read_landing(spark, paths, delimiter, header)
+    for (table, delimiter, header), same in layouts.items():
+        frame = land.read_landing(spark, same, delimiter, header)
         by_table.setdefault(table, []).append(frame)
     for table, frames in by_table.items():
         silver = _with_partitions(schema.harmonized_union(frames))
         layers.write_partitioned(
             silver, f"{layout.silver}/{table}", [layers.PART_DATE, "brand_slug"]
         )
-    valid_paths = [path for paths in layouts.values() for path in paths]
+    valid_paths = [path for same in layouts.values() for path in same]
     if copy_raw and valid_paths:
         lines = _with_partitions(land.raw_lines(spark, valid_paths), with_table=True)
         layers.write_raw(lines, layout.raw)
@@ -117,35 +117,27 @@ def silver_to_gold(
         if_absent={"BRAND": F.col("src_brand"), "FILEDATE": F.col(layers.PART_DATE)},
         always={},
     )
+    # checks see the declared types, the layer keeps the text
+    typed = schema.schema_cast(rows, columns_from(layout.schemas, table), valid_flags=False)
     checked = check_rules(
-        rows, parse_rules(layout.rules, table), order=land.POSITION, scope=["src_file"]
-    )
-    group = ["brand", "table_name", "extraction_date"]
-    log = report.silver_log(
-        _renamed_group(checked, table, date), ["__brand", "__table", "__extraction"]
+        typed, parse_rules(layout.rules, table), order=land.POSITION, scope=["src_file"]
     )
-    log = log.withColumnsRenamed(dict(zip(["__brand", "__table", "__extraction"], group)))
+    labels = {
+        "brand": F.col("src_brand"),
+        "table_name": F.lit(table),
+        "extraction_date": iso_date(F.lit(date)),
+    }
+    log = report.silver_log(checked, ["src_brand"]).withColumns(labels).drop("src_brand")
     if files is not None:
         same = files.filter((F.col("table_name") == table) & (F.col("filedate") == date))
-        groups = same.select(
+        groups = same.filter("valid").select(
             "brand", "table_name", iso_date(F.col("filedate")).alias("extraction_date")
         )
-        log = report.add_empty_groups(log, groups, group)
+        log = report.add_empty_groups(log, groups, list(labels))
     layers.append_log(_stamped(log, date), layout.logs, "silver_logs")
     return layers.write_partitioned(rows, f"{layout.gold}/{table}", [layers.PART_DATE])
 
 
-def _renamed_group(checked, table: str, date: str):
-    frame = checked.df.withColumns(
-        {
-            "__brand": F.col("src_brand"),
-            "__table": F.lit(table),
-            "__extraction": iso_date(F.lit(date)),
-        }
-    )
-    return type(checked)(frame, checked.checks)
-
-
 def silver_to_gold_configured(
     spark: SparkSession,
     layout: Layout,
@@ -208,9 +200,8 @@ def gold_to_target(
     rules = parse_rules(layout.rules, table)
     keys = settings.keys_of(table)
     keys = keys if set(keys) <= set(rows.columns) else []
-    dim = enrich.brand_frame(spark, brands_from(dict(layout.brands)))
     log = report.gold_log(rows, rules, ["BRAND"], keys, land.POSITION)
-    log = enrich.enrich_brand(log, dim).select(
+    log = enrich.enrich_brand(log, brands_from(dict(layout.brands))).select(
         F.lit(table).alias("table_name"), F.col("BRAND_CODE").alias("brand"), *log.drop("BRAND").columns
     )
     layers.append_log(_stamped(log, date), layout.logs, "gold_logs")
@@ -227,15 +218,14 @@ def gold_to_target(
     target = f"{layout.target_schema}.{settings.target_of(table)}"
     if spark.catalog.tableExists(target):
         wanted = spark.table(target).columns
+    elif declared:
+        wanted = [*declared, "BRAND", "FILEDATE", "LOADDATE", "LOADEDBY"]
     else:
-        wanted = [c for c in [*declared, "BRAND", "FILEDATE", "LOADDATE", "LOADEDBY"]]
-        wanted += ['"GROUP"'] if any(c.upper() == "GROUP" for c in declared) else []
-        if not declared:
-            wanted += [c for c in loaded.columns if c not in SOURCE_COLUMNS]
-    wanted += ['"GROUP"'] if "GROUP" in wanted else []
-    projected = schema.project_to_target(loaded, wanted)
+        wanted = [name for name in loaded.columns if name not in SOURCE_COLUMNS]
+    # a Spark target has no reserved column names
+    projected = schema.project_to_target(loaded, wanted, reserved=())
     clean = schema.apply_null_policy(projected, date_columns=EMPTY_AS_NULL_DATES)
-    return layers.append_table(clean, target)
+    return layers.load_table(clean, target, date)
 
 
 def run_date(
@@ -262,6 +252,8 @@ def run_date(
         steps.append("silver_to_gold")
         for table in tables:
             gold_to_target(spark, layout, settings, table, date)
+            entry = incremental.ledger_entry(spark, date, "success", table)
+            layers.append_log(entry, layout.logs, "ledger")
         steps.append("gold_to_target")
     except Exception:
         entry = incremental.ledger_entry(spark, date, "failed")

@@ -315,23 +315,20 @@ def null_policy(spark, sf):
 @query
 def brand_enrich(spark, sf):
     df = tb.dirty_events(spark, sf).select("event_id", "brand")
-    dim = enrich.brand_frame(spark, tb.BRANDS)
-    return enrich.enrich_brand(df, dim, brand="brand", code="brand_code")
+    return enrich.enrich_brand(df, tb.BRANDS, brand="brand", code="brand_code")
 
 
 @query
 def brand_enrich_exact(spark, sf):
     df = tb.dirty_events(spark, sf).select("event_id", "brand")
-    dim = enrich.brand_frame(spark, tb.BRANDS)
     return enrich.enrich_brand(
-        df, dim, match="exact", brand="brand", code="brand_code", fallback=False
+        df, tb.BRANDS, match="exact", brand="brand", code="brand_code", fallback=False
     )
 
 
 @query
 def unmatched_brands(spark, sf):
-    dim = enrich.brand_frame(spark, tb.BRANDS)
-    return enrich.unmatched_brands(tb.dirty_events(spark, sf), dim, brand="brand")
+    return enrich.unmatched_brands(tb.dirty_events(spark, sf), tb.BRANDS, brand="brand")
 
 
 @query
@@ -548,8 +545,7 @@ def gold_log(spark, sf):
     """Flagship: brand lookup, keep-first dedup, all rules and the per-brand log in one plan."""
     df = tb.dirty_events(spark, sf)
     log = report.gold_log(df, parse_rules(tb.RULES, "Events"), ["brand"], K, ["event_id"])
-    dim = enrich.brand_frame(spark, tb.BRANDS)
-    return enrich.enrich_brand(log, dim, brand="brand", code="brand_code")
+    return enrich.enrich_brand(log, tb.BRANDS, brand="brand", code="brand_code")
 
 
 @query

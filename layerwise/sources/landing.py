@@ -45,16 +45,34 @@ def csv_glob(date: str | None = None) -> str:
     return f"*_{date}.[cC][sS][vV]" if date else "*.[cC][sS][vV]"
 
 
-def file_inventory(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Name, size and time of each file below a path. File contents are not read."""
+def file_inventory(
+    spark: SparkSession, path: str | Sequence[str], glob: str = "*"
+) -> DataFrame:
+    """Name, size and time of each file below a path. File contents are not read.
+
+    A scan yields no row for an empty file, so those are added from the scan's own file list,
+    with size 0 and no time.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    return files.select(
+    found = files.select(
         "path",
         F.col("_metadata.file_path").alias("file_path"),
         decode_file_name(F.col("_metadata.file_name")).alias("file_name"),
         F.col("length").alias("file_size"),
         F.col("modificationTime").alias("modified_at"),
     )
+    listed = spark.createDataFrame([(name,) for name in files.inputFiles()], "path string")
+    name = decode_file_name(F.element_at(F.split("path", "/"), -1))
+    empty = listed.withColumn("file_name", name).join(found, "file_name", "left_anti")
+    return found.unionByName(
+        empty.select(
+            "path",
+            F.col("path").alias("file_path"),
+            "file_name",
+            F.lit(0).cast("bigint").alias("file_size"),
+            F.lit(None).cast("timestamp").alias("modified_at"),
+        )
+    )
 
 
 def first_lines(lines: DataFrame, file: str, order: Sequence[str], n: int = SAMPLE_LINES) -> DataFrame:
@@ -72,35 +90,43 @@ def sniff(samples: DataFrame, delimiters: Sequence[str] = DELIMITERS) -> DataFra
     quotes; ties go to the more frequent, then to the earlier candidate. A file without any
     candidate in its first line is not valid.
     """
-    plain = F.transform("sample", lambda line: F.regexp_replace(line, '"[^"]*"', "x"))
-    first = F.try_element_at("__plain", F.lit(1))
-
-    def occurrences(line: Column, delimiter: str) -> Column:
-        return F.length(line) - F.length(F.replace(line, F.lit(delimiter), F.lit("")))
-
-    scores = F.array(
+    candidates = F.array(
         *[
-            F.when(
-                occurrences(first, d) > 0,
-                F.struct(
-                    F.size(
-                        F.filter(
-                            "__plain", lambda line, d=d: occurrences(line, d) == occurrences(first, d)
-                        )
-                    ).alias("agree"),
-                    occurrences(first, d).alias("n"),
-                    F.lit(-rank).alias("rank"),
-                    F.lit(d).alias("delimiter"),
-                ),
-            )
+            F.struct(F.lit(-rank).alias("rank"), F.lit(d).alias("delimiter"))
             for rank, d in enumerate(delimiters)
         ]
     )
-    best = F.array_max(F.array_compact(scores))
-    scored = samples.withColumn("__plain", plain).withColumn("__best", best)
+    plain = F.transform("sample", lambda line: F.regexp_replace(line, '"[^"]*"', "x"))
+    counted = F.transform(
+        candidates,
+        lambda c: F.struct(
+            c["rank"].alias("rank"),
+            c["delimiter"].alias("delimiter"),
+            F.transform(
+                "__plain",
+                lambda line: F.length(line)
+                - F.length(F.replace(line, c["delimiter"], F.lit(""))),
+            ).alias("counts"),
+        ),
+    )
+    scores = F.transform(
+        F.filter("__counted", lambda c: F.get(c["counts"], F.lit(0)) > 0),
+        lambda c: F.struct(
+            F.size(
+                F.filter(c["counts"], lambda n: n == F.get(c["counts"], F.lit(0)))
+            ).alias("agree"),
+            F.get(c["counts"], F.lit(0)).alias("n"),
+            c["rank"].alias("rank"),
+            c["delimiter"].alias("delimiter"),
+        ),
+    )
     pattern = F.concat(F.lit(r"\Q"), F.col("__best.delimiter"), F.lit(r"\E"))
-    scored = scored.withColumn(
-        "__fields", F.transform("__plain", lambda line: F.split(line, pattern))
+    fields = F.transform("__plain", lambda line: F.split(line, pattern))
+    scored = (
+        samples.withColumn("__plain", plain)
+        .withColumn("__counted", counted)
+        .withColumn("__best", F.array_max(scores))
+        .withColumn("__fields", fields)
     )
     return scored.select(
         *samples.columns,
@@ -109,7 +135,7 @@ def sniff(samples: DataFrame, delimiters: Sequence[str] = DELIMITERS) -> DataFra
         (F.col("__best.n") + 1).cast("bigint").alias("n_columns"),
         F.greatest(F.size("sample") - 1, F.lit(0)).cast("bigint").alias("sample_rows"),
         F.coalesce(_header_votes() > 0, F.lit(False)).alias("has_header"),
-        F.try_element_at("sample", F.lit(1)).alias("header"),
+        F.get("sample", F.lit(0)).alias("header"),
     )
 
 
@@ -140,7 +166,10 @@ def _header_votes() -> Column:
 
 
 def landing_catalog(
-    spark: SparkSession, path: str, expected: Sequence[str], date: str | None = None
+    spark: SparkSession,
+    path: str | Sequence[str],
+    expected: Sequence[str],
+    date: str | None = None,
 ) -> DataFrame:
     """One row per landing file to process: name parts, CSV format and whether it is expected.
 

@@ -13,8 +13,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from layerwise.functions.names import decode_file_name
+from layerwise.operators.schema import quoted
+from layerwise.session import setting
 
 PART_DATE = "part_date"
+TARGET_DATE = "PART_DATE"
 
 
 def read_layer(
@@ -105,21 +108,30 @@ def write_raw(lines: DataFrame, root: str) -> None:
     )
 
 
-def append_table(df: DataFrame, table: str) -> int:
-    """Append to a catalog table, created at the first load, and return the rows written.
+def load_table(df: DataFrame, table: str, date: str) -> int:
+    """Load the rows of a date into a catalog table and return their number.
 
-    Columns are matched by name; a new column of a frame is not in the table and stops the
-    load, as ``project_to_target`` should have removed it.
+    A table created here is partitioned by date, and loading a date again replaces that
+    partition. A table of other making, without the partition column, is appended to. Columns
+    are matched by name and those the frame lacks are NULL.
     """
     spark = df.sparkSession
+    exists = spark.catalog.tableExists(table)
+    dated = not exists or TARGET_DATE in spark.table(table).columns
+    if dated:
+        df = df.withColumn(TARGET_DATE, F.lit(date))
     written = Observation()
     counted = df.observe(written, F.count(F.lit(1)).alias("n"))
-    if spark.catalog.tableExists(table):
-        columns = spark.table(table).columns
-        missing = [F.lit(None).alias(c) for c in columns if c not in df.columns]
-        counted.select("*", *missing).select(*columns).write.insertInto(table)
+    if not exists:
+        counted.write.partitionBy(TARGET_DATE).saveAsTable(table)
     else:
-        counted.write.mode("append").saveAsTable(table)
+        columns = [
+            quoted(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in spark.table(table).schema.fields
+        ]
+        # an overwriting insert replaces only the partitions it has rows for
+        with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            counted.select(*columns).write.insertInto(table, overwrite=dated)
     return written.get["n"]
 
 

@@ -25,9 +25,12 @@ def arriving_files(spark: SparkSession, landing: str, max_files: int = 1000) ->
         .load(landing)
     )
     name = decode_file_name(F.col("_metadata.file_name"))
-    named = files.select(name.alias("file_name"), F.col("modificationTime").alias("modified_at"))
+    named = files.select(
+        "path", name.alias("file_name"), F.col("modificationTime").alias("modified_at")
+    )
     parsed = parse_source_name(F.col("file_name"))
     return named.select(
+        "path",
         "file_name",
         "modified_at",
         parsed["brand"].alias("brand"),
@@ -57,11 +60,11 @@ def stream_to_gold(
         )
 
     def to_gold(batch: DataFrame, batch_id: int) -> None:
-        names = [row.file_name for row in batch.select("file_name").distinct().collect()]
-        if not names:
+        paths = [row.path for row in batch.select("path").collect()]
+        if not paths:
             return
         session = batch.sparkSession
-        files = landing_to_silver(session, layout, settings, file_names=names)
+        files = landing_to_silver(session, layout, settings, paths=paths)
         touched = files.filter("valid").select("table_name", "filedate").distinct().collect()
         for table, date in touched:
             silver_to_gold(session, layout, table, date, files)
