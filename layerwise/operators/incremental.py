@@ -38,9 +38,8 @@ def lookback_dates(spark: SparkSession, reference: str, days: int) -> DataFrame:
     """The window's dates as rows."""
     end = F.lit(as_date(reference))
     every_day = F.sequence(F.date_sub(end, days - 1), end)
-    return spark.range(1).select(
-        F.date_format(F.explode(every_day), "yyyyMMdd").alias("filedate")
-    )
+    days_apart = spark.range(1).select(F.explode(every_day).alias("day"))
+    return days_apart.select(F.date_format("day", "yyyyMMdd").alias("filedate"))
 
 
 def date_window_intersect(dates: DataFrame, reference: str, days: int) -> DataFrame:

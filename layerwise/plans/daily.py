@@ -72,13 +72,10 @@ def landing_to_silver(
         by_table.setdefault(table, []).append(frame)
     for table, frames in by_table.items():
         silver = _with_partitions(schema.harmonized_union(frames))
-        layers.write_partitioned(
-            silver, f"{layout.silver}/{table}", [layers.PART_DATE, "brand_slug"]
-        )
+        layers.write_partitioned(silver, f"{layout.silver}/{table}", layers.FILE_PARTITIONS)
     valid_paths = [path for same in layouts.values() for path in same]
     if copy_raw and valid_paths:
-        lines = _with_partitions(land.raw_lines(spark, valid_paths), with_table=True)
-        layers.write_raw(lines, layout.raw)
+        layers.write_raw(_with_partitions(land.raw_lines(spark, valid_paths)), layout.raw)
     files = spark.createDataFrame(rows, catalog.schema)
     if rows:
         log = presence.raw_log(files, settings.expected_tables)
@@ -86,16 +83,15 @@ def landing_to_silver(
     return files
 
 
-def _with_partitions(df: DataFrame, with_table: bool = False) -> DataFrame:
+def _with_partitions(df: DataFrame) -> DataFrame:
     parsed = parse_source_name(F.col("src_file"))
-    named = df.withColumns(
+    return df.withColumns(
         {
             "src_brand": parsed["brand"],
             layers.PART_DATE: parsed["filedate"],
             "brand_slug": slugify(parsed["brand"]),
         }
     )
-    return named.withColumn("table_name", parsed["table"]) if with_table else named
 
 
 def silver_to_gold(

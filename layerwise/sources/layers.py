@@ -1,7 +1,8 @@
 """Layer scans and writes.
 
-A layer is one Parquet dataset per table, ``<layer>/<Table>/part_date=.../brand_slug=...``.
-The partition column is called ``part_date`` since many tables bring a FILEDATE of their own.
+A layer is one Parquet dataset per table, partitioned by ``part_date`` (many tables bring a
+FILEDATE of their own). Raw and silver are partitioned further, by brand slug and source file,
+so that a file delivered again replaces exactly its own rows.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from layerwise.session import setting
 
 PART_DATE = "part_date"
 TARGET_DATE = "PART_DATE"
+FILE_PARTITIONS = (PART_DATE, "brand_slug", "src_file")
 
 
 def read_layer(
@@ -40,7 +42,8 @@ def read_layer(
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
-    return frame.withColumn(PART_DATE, F.col(PART_DATE).cast("string"))
+    own = [name for name in FILE_PARTITIONS if name in frame.columns]
+    return frame.withColumns({name: F.col(name).cast("string") for name in own})
 
 
 def scan_date_range(df: DataFrame, column: str, start: str, end: str) -> DataFrame:
@@ -77,10 +80,11 @@ def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str]) -> in
     and a partition with a large share of the rows is split over many tasks.
     """
     written = Observation()
-    counted = df.observe(written, F.count(F.lit(1)).alias("n"))
-    writer = counted.hint("rebalance", *[F.col(p) for p in partitions]).write
+    # counted above the shuffle, where the count stays in the plan even of an empty frame
+    balanced = df.hint("rebalance", *[F.col(p) for p in partitions])
+    counted = balanced.observe(written, F.count(F.lit(1)).alias("n"))
     (
-        writer.mode("overwrite")
+        counted.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .parquet(path)
@@ -89,21 +93,18 @@ def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str]) -> in
 
 
 def write_raw(lines: DataFrame, root: str) -> None:
-    """Raw copy of landing lines, ``raw/part_date=/brand_slug=/table_name=``.
+    """Raw copy of landing lines, partitioned by date, brand and file.
 
     Lines are range-partitioned by file and position, so the parts of a file read in name
     order are the file itself, and large files are spread over tasks.
     """
-    position = ["src_file", "src_block", "src_row"]
-    partitions = [PART_DATE, "brand_slug", "table_name"]
-    ordered = lines.repartitionByRange(*partitions, *position).sortWithinPartitions(
-        *partitions, *position
-    )
+    order = [*FILE_PARTITIONS, "src_block", "src_row"]
+    ordered = lines.repartitionByRange(*order).sortWithinPartitions(*order)
     (
-        ordered.select("value", *partitions)
+        ordered.select("value", *FILE_PARTITIONS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
+        .partitionBy(*FILE_PARTITIONS)
         .text(root)
     )
 

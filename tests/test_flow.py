@@ -121,7 +121,7 @@ def test_landing_to_target(spark, layout, settings):
         ("2", None, None),
         ("3", None, None),
     ]
-    raw = spark.read.text(layout.raw).filter("table_name = 'Playback'")
+    raw = spark.read.text(layout.raw).filter("src_file LIKE '%Playback%'")
     assert [r.value for r in raw.collect()] == FILES["Arts+ West_Playback_20250416.csv"].splitlines()
 
     assert silver_to_gold(spark, layout, "Device", "20250416", files) == 6
@@ -239,7 +239,7 @@ def test_large_file_is_read_in_splits_and_stays_in_order(spark, tmp_path):
         kept = keep_first(df, ["UserId"], land.POSITION)
         assert {int(r.Serial) for r in kept.collect()} == set(range(50))
         lined = land.raw_lines(spark, [str(path)]).withColumns(
-            {"part_date": F.lit("20250416"), "brand_slug": F.lit("north_tv"), "table_name": F.lit("Device")}
+            {"part_date": F.lit("20250416"), "brand_slug": F.lit("north_tv")}
         )
         layers.write_raw(lined, str(tmp_path / "raw"))
     finally:
