@@ -53,7 +53,7 @@ def error_details(checked: Checked, group: Sequence[str]) -> DataFrame:
     labelled: list[tuple[str, str, Column]] = []
     for check in checked.active:
         for column, bad in check.parts:
-            named = column if check.rule.kind in ("required_fields", "date_validation") else ""
+            named = column if check.rule.kind in _PER_COLUMN else ""
             labelled.append((check.rule.error_type, named, bad))
     if not labelled:
         keys = checked.df.select(*group).limit(0)
@@ -101,15 +101,46 @@ def rule_status(checked: Checked, group: Sequence[str]) -> DataFrame:
     return per_group.select(*group, "n_rows", F.inline(F.array(*entries)))
 
 
+_NO_DETAILS = '{"info":"No additional details"}'
+_PER_COLUMN = ("required_fields", "date_validation")
+
+
+def _detail_fields(checked: Checked) -> tuple[list[Column], list[Column]]:
+    """Aggregates of bad rows and, over them, the JSON fields that are not zero."""
+    counts: list[Column] = []
+    fields: list[Column] = []
+
+    def counted(bad: Column, label: str) -> Column:
+        counts.append(F.count_if(bad).alias(f"__d{len(counts)}"))
+        return F.nullif(F.col(f"__d{len(counts) - 1}"), F.lit(0)).alias(label)
+
+    for kind, bad in checked.by_error_type().items():
+        same = [c for c in checked.active if c.rule.error_type == kind]
+        parts = [part for c in same for part in c.parts]
+        if len(same) == 1 and same[0].rule.kind in _PER_COLUMN:
+            columns = [counted(part, name) for name, part in parts]
+            found = F.struct(*columns)
+            any_found = F.coalesce(*columns).isNotNull()
+            fields.append(F.when(any_found, found).alias(kind))
+        else:
+            fields.append(counted(bad, kind))
+    return counts, fields
+
+
 def silver_log(checked: Checked, group: Sequence[str]) -> DataFrame:
-    """Rows in total, good and bad, error types met and OK / KO per group."""
+    """Rows in total, good and bad, error types met, OK / KO and JSON counts per group."""
     kinds = checked.by_error_type()
     hits = [F.max(bad).alias(f"__e{i}") for i, bad in enumerate(kinds.values())]
+    counts, fields = _detail_fields(checked)
     log = checked.df.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("rows_total"), F.count_if(checked.any_bad).alias("rows_ko"), *hits
+        F.count(F.lit(1)).alias("rows_total"),
+        F.count_if(checked.any_bad).alias("rows_ko"),
+        *hits,
+        *counts,
     )
     met = [F.when(F.col(f"__e{i}"), F.lit(kind)) for i, kind in enumerate(kinds)]
     listed = F.array_join(F.array_sort(F.array_compact(F.array(*met))), ",") if met else F.lit("")
+    details = F.to_json(F.struct(*fields)) if fields else F.lit("{}")
     return log.select(
         *group,
         "rows_total",
@@ -117,6 +148,7 @@ def silver_log(checked: Checked, group: Sequence[str]) -> DataFrame:
         "rows_ko",
         listed.alias("cols_error"),
         F.when(F.col("rows_ko") == 0, "OK").otherwise("KO").alias("status"),
+        F.when(F.col("rows_ko") == 0, _NO_DETAILS).otherwise(details).alias("details"),
     )
 
 
@@ -128,6 +160,7 @@ def add_empty_groups(log: DataFrame, groups: DataFrame, keys: Sequence[str]) ->
         *[F.lit(0).cast("bigint").alias(c) for c in ("rows_total", "rows_ok", "rows_ko")],
         F.lit("").alias("cols_error"),
         F.lit("OK").alias("status"),
+        F.lit(_NO_DETAILS).alias("details"),
     )
     return log.unionByName(zeros)
 
@@ -178,6 +211,34 @@ def gold_log(
     return _gold_columns(totals, checked, group, len(masks))
 
 
+def gold_record(log: DataFrame, rejected: int = 0) -> DataFrame:
+    """A gold log with the load counts, message and JSON details of the monitoring table."""
+    failed, errors = F.col("checks_failed"), F.col("records_error")
+    message = F.format_string("%d checks failed with %d records in error", failed, errors)
+    zero = F.lit(0).cast("bigint")
+    loaded = {
+        "reseller": F.lit(""),
+        "brands_aggregated": F.lit(1).cast("bigint"),
+        "records_warning": zero,
+        "rows_inserted": F.col("records_after_agg"),
+        "rows_updated": zero,
+        "rows_rejected": F.lit(rejected).cast("bigint"),
+        "error_message": F.when(F.col("status") == "OK", "").otherwise(message),
+        "business_checks_details": F.to_json(
+            F.struct(failed.alias("validation_error_count"), errors.alias("total_error_count"))
+        ),
+        "aggregation_details": F.to_json(
+            F.struct(
+                F.col("records_before_agg").alias("records_before"),
+                F.col("records_after_agg").alias("records_after"),
+                "duplicates_removed",
+            )
+        ),
+    }
+    counts = F.struct("rows_inserted", "rows_updated", "rows_rejected")
+    return log.withColumns(loaded).withColumn("loading_details", F.to_json(counts))
+
+
 def _with_masks(checked: Checked) -> tuple[DataFrame, list[str]]:
     """Error-type flags of a row packed into bigint columns."""
     flags = list(checked.by_error_type().values())

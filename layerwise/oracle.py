@@ -384,12 +384,36 @@ a AS (SELECT brand, filedate, count(*) AS rows_total,
   concat_ws(',', CASE WHEN bool_or(duplicate_users) THEN 'duplicate_users' END,
   """
     + ", ".join(f"CASE WHEN bool_or({e}) THEN '{e}' END" for e in sorted(_E))
-    + """) AS cols_error FROM c GROUP BY brand, filedate)
+    + """) AS cols_error, concat_ws(',',
+ '"invalid_kinds":' || nullif(count(*) FILTER (WHERE invalid_kinds), 0),
+ '"missing_fields":{' || nullif(concat_ws(',', '"kind":' || nullif(count(*) FILTER (WHERE missing_kind), 0),
+   '"start_date":' || nullif(count(*) FILTER (WHERE start_date IS NULL OR start_date = ''), 0)), '') || '}',
+ '"invalid_dates":{"start_date":' || nullif(count(*) FILTER (WHERE invalid_dates), 0) || '}',
+ '"invalid_duration":' || nullif(count(*) FILTER (WHERE invalid_duration), 0),
+ '"inconsistent_duration":' || nullif(count(*) FILTER (WHERE inconsistent_duration), 0),
+ '"missing_kind":' || nullif(count(*) FILTER (WHERE missing_kind), 0),
+ '"duplicate_users":' || nullif(count(*) FILTER (WHERE duplicate_users), 0)) AS detail
+ FROM c GROUP BY brand, filedate)
 SELECT brand, filedate, rows_total, rows_total - rows_ko AS rows_ok, rows_ko, cols_error,
- CASE WHEN rows_ko = 0 THEN 'OK' ELSE 'KO' END AS status FROM a""",
+ CASE WHEN rows_ko = 0 THEN 'OK' ELSE 'KO' END AS status,
+ CASE WHEN rows_ko = 0 THEN '{"info":"No additional details"}' ELSE '{' || detail || '}' END AS details
+FROM a""",
     "gold_log": f"WITH {_DIRTY},"
     + _gold("brand", "user_id, filedate", _E, 7, 1, "d")
     + f" SELECT *, coalesce({_CODE}, brand) AS brand_code FROM g",
+    "gold_record": f"WITH {_DIRTY},"
+    + _gold("brand", "user_id, filedate", _E, 7, 1, "d")
+    + """ SELECT *, '' AS reseller, CAST(1 AS BIGINT) AS brands_aggregated,
+ CAST(0 AS BIGINT) AS records_warning, records_after_agg AS rows_inserted,
+ CAST(0 AS BIGINT) AS rows_updated, CAST(0 AS BIGINT) AS rows_rejected,
+ CASE WHEN status = 'OK' THEN '' ELSE checks_failed || ' checks failed with ' || records_error
+   || ' records in error' END AS error_message,
+ '{"validation_error_count":' || checks_failed || ',"total_error_count":' || records_error || '}'
+   AS business_checks_details,
+ '{"records_before":' || records_before_agg || ',"records_after":' || records_after_agg
+   || ',"duplicates_removed":' || duplicates_removed || '}' AS aggregation_details,
+ '{"rows_inserted":' || records_after_agg || ',"rows_updated":0,"rows_rejected":0}' AS loading_details
+FROM g""",
     "gold_log_uniqueness": f"WITH {_DIRTY},"
     + _gold(
         "brand",
@@ -434,9 +458,13 @@ SELECT CAST(id AS VARCHAR) AS process_id, r.date_folder,
 FROM r JOIN w ON w.date_folder = r.date_folder""",
     "raw_log": f"""WITH {_FILES}, g AS (SELECT brand, filedate, count(DISTINCT table_name) AS n,
  list(DISTINCT table_name) AS present FROM f GROUP BY brand, filedate)
-SELECT brand, filedate, n AS file_count, CASE WHEN n = 5 THEN 'OK' ELSE 'Partial' END AS status,
+SELECT brand, filedate, n AS file_count, CAST(0 AS BIGINT) AS unexpected_count, CASE WHEN n = 5 THEN 'OK' ELSE 'Partial' END AS status,
  array_to_string(list_filter(['signup', 'purchase', 'view', 'click', 'error'],
-  lambda x: NOT list_contains(present, x)), ',') AS missing_tables FROM g""",
+  lambda x: NOT list_contains(present, x)), ',') AS missing_tables,
+ '{{"files_present":' || n || ',"tables":{{' || array_to_string(list_transform(
+  ['signup', 'purchase', 'view', 'click', 'error'], lambda x: '"' || x || '":{{"status":"'
+  || CASE WHEN list_contains(present, x) THEN 'OK' ELSE 'NoK' END || '"}}'), ',') || '}}}}' AS details
+FROM g""",
     "files_per_table_date": f"""WITH {_FILES}
 SELECT filedate, table_name, count(*) AS n_files FROM f GROUP BY filedate, table_name""",
     "tables_per_date": f"""WITH {_FILES}

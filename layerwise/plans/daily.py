@@ -6,6 +6,7 @@ rerun or after lost work, without changing the outcome. Only the logs are append
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -79,7 +80,7 @@ def landing_to_silver(
     files = spark.createDataFrame(rows, catalog.schema)
     if rows:
         log = presence.raw_log(files, settings.expected_tables)
-        layers.append_log(_stamped(log), layout.logs, "raw_logs")
+        layers.append_log(_stamped(log.withColumn("reseller", F.lit(""))), layout.logs, "raw_logs")
     return files
 
 
@@ -130,6 +131,7 @@ def silver_to_gold(
             "brand", "table_name", iso_date(F.col("filedate")).alias("extraction_date")
         )
         log = report.add_empty_groups(log, groups, list(labels))
+    log = log.withColumn("reseller", F.lit(""))
     layers.append_log(_stamped(log, date), layout.logs, "silver_logs")
     return layers.write_partitioned(rows, f"{layout.gold}/{table}", [layers.PART_DATE])
 
@@ -181,8 +183,9 @@ def gold_to_target(
 ) -> int | None:
     """Deduplicate, cast, check and load one gold partition; return the rows loaded.
 
-    Two jobs over the partition, whatever the number of brands and rules: the log and the load.
+    Two passes over the partition, whatever the number of brands and rules: the load and the log.
     """
+    started = datetime.now(timezone.utc)
     gold = layers.read_layer(spark, layout.gold, table, date)
     if gold is None:
         return None
@@ -196,12 +199,6 @@ def gold_to_target(
     rules = parse_rules(layout.rules, table)
     keys = settings.keys_of(table)
     keys = keys if set(keys) <= set(rows.columns) else []
-    log = report.gold_log(rows, rules, ["BRAND"], keys, land.POSITION)
-    log = enrich.enrich_brand(log, brands_from(dict(layout.brands))).select(
-        F.lit(table).alias("table_name"), F.col("BRAND_CODE").alias("brand"), *log.drop("BRAND").columns
-    )
-    layers.append_log(_stamped(log, date), layout.logs, "gold_logs")
-
     unique = dedup.keep_first(rows, ["BRAND", *keys], land.POSITION) if keys else rows
     loaded = schema.add_lineage(
         unique,
@@ -221,7 +218,21 @@ def gold_to_target(
     # a Spark target has no reserved column names
     projected = schema.project_to_target(loaded, wanted, reserved=())
     clean = schema.apply_null_policy(projected, date_columns=EMPTY_AS_NULL_DATES)
-    return layers.load_table(clean, target, date)
+    loaded_rows = layers.load_table(clean, target, date)
+
+    log = report.gold_log(rows, rules, ["BRAND"], keys, land.POSITION)
+    log = enrich.enrich_brand(log, brands_from(dict(layout.brands)))
+    log = report.gold_record(log.drop("BRAND").withColumnRenamed("BRAND_CODE", "brand"))
+    ended = datetime.now(timezone.utc)
+    run = {
+        "process_id": F.lit(str(uuid.uuid4())),
+        "table_name": F.lit(table),
+        "execution_start": F.lit(started),
+        "execution_end": F.lit(ended),
+        "processing_time_ms": F.lit(int((ended - started).total_seconds() * 1000)),
+    }
+    layers.append_log(_stamped(log.withColumns(run), date), layout.logs, "gold_logs")
+    return loaded_rows
 
 
 def run_date(

@@ -189,6 +189,14 @@ def test_run_is_idempotent_and_recorded(spark, layout, settings):
     assert ("Arts+ West", 3, "OK", "") in rows(
         raw.select("brand", "file_count", "status", "missing_tables").distinct()
     )
+    details = json.loads(raw.filter("brand = 'North TV'").first().details)
+    assert details["files_present"] == 3
+    assert details["tables"]["Device"] == {"status": "OK", "csv_valid": True}
+    gold = layers.read_log(spark, layout.logs, "gold_logs").filter("brand = 'NT' AND table_name = 'Device' AND date_folder = '20250416'")
+    record = gold.first()
+    assert record.error_message == "2 checks failed with 2 records in error"
+    assert json.loads(record.loading_details) == {"rows_inserted": 3, "rows_updated": 0, "rows_rejected": 0}
+    assert gold.filter("execution_end >= execution_start AND process_id <> ''").count() == 2
 
 
 def test_failure_is_recorded(spark, layout, settings):

@@ -82,9 +82,10 @@ def test_retention(spark, dates):
 def test_presence(spark):
     data = [("N", "20250416", "A"), ("N", "20250416", "A"), ("N", "20250416", "B"), ("S", "20250416", "X")]
     files = spark.createDataFrame(data, "brand string, filedate string, table_name string")
+    ok, nok = '{"status":"OK"}', '{"status":"NoK"}'
     assert rows(presence.raw_log(files, ["A", "B"])) == [
-        ("N", "20250416", 2, "OK", ""),
-        ("S", "20250416", 1, "Partial", "A,B"),
+        ("N", "20250416", 2, 0, "OK", "", '{"files_present":2,"tables":{"A":%s,"B":%s}}' % (ok, ok)),
+        ("S", "20250416", 1, 1, "Partial", "A,B", '{"files_present":1,"tables":{"A":%s,"B":%s}}' % (nok, nok)),
     ]
     assert rows(presence.expected_tables(files, ["A", "B"]).select("brand", "table_name", "status")) == [
         ("N", "A", "OK"),

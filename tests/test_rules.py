@@ -130,8 +130,8 @@ def test_reports(df):
         ("B", "kinds", "", 2),
     ]
     assert rows(report.silver_log(checked, ["brand"])) == [
-        ("A", 3, 1, 2, "dates,kinds,missing", "KO"),
-        ("B", 2, 0, 2, "dates,kinds", "KO"),
+        ("A", 3, 1, 2, "dates,kinds,missing", "KO", '{"kinds":1,"missing":{"kind":2,"ref":2},"dates":{"day":1}}'),
+        ("B", 2, 0, 2, "dates,kinds", "KO", '{"kinds":2,"dates":{"day":2}}'),
     ]
     top = report.first_bad_rows(checked, ["brand"], ["id"], limit=1)
     assert rows(top) == [("A", 2, 1), ("B", 4, 1)]
