@@ -92,7 +92,15 @@ def _per_column(df: DataFrame, rule: Rule, test: Callable[[Column], Column]) ->
 
 
 def _allowed_values(df: DataFrame, rule: Rule) -> Check:
-    return _per_column(df, rule, lambda c: c.isNotNull() & ~c.isin(list(rule.allowed)))
+    allowed = [value for value in rule.allowed if value is not None]
+    as_text = all(isinstance(value, str) for value in allowed)
+
+    def bad(column: Column) -> Column:
+        # texts are compared as text, so a list of them never casts a numeric column's values
+        value = column.cast("string") if as_text else column
+        return column.isNotNull() & ~value.isin(allowed)
+
+    return _per_column(df, rule, bad)
 
 
 def _required_fields(df: DataFrame, rule: Rule) -> Check:

@@ -155,8 +155,11 @@ def silver_to_gold_configured(
     rows = schema.schema_cast(silver, declared, valid_flags=False)
     outcome: dict = {"table_name": table, "date": date}
     filtered = transform.config_filter(rows, table_config.get("filter_conditions"))
+    outcome["row_count_raw"] = silver.count()
     if filtered.error:
         outcome["filter_error"] = filtered.error
+    elif table_config.get("filter_conditions"):
+        outcome["rows_filtered"] = outcome["row_count_raw"] - filtered.df.count()
     keys = table_config.get("key_columns") or []
     aggregates = table_config.get("aggregate_columns") or {}
     result = filtered.df.drop("brand_slug", layers.PART_DATE, *SOURCE_COLUMNS)

@@ -141,6 +141,7 @@ def rule_catalog(spark, sf):
     checked = _checked(spark, sf)
     rules = rule_frame(spark, [c.rule for c in checked.checks])
     status = report.rule_status(checked, [])
+    # one row per configured rule on either side
     return rules.join(F.broadcast(status), "rule_name").select(
         "rule_name",
         "kind",

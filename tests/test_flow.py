@@ -8,7 +8,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from layerwise.config import Settings
+from layerwise.config import Settings, brands_from, columns_from, read_config
 from layerwise.operators import incremental
 from layerwise.plans.daily import (
     Layout,
@@ -222,6 +222,7 @@ def test_configured_gold(spark, layout, settings):
     }
     outcome = silver_to_gold_configured(spark, layout, "Playback", "20250416", config)
     assert outcome["aggregation_applied"] and outcome["row_count"] == 1
+    assert (outcome["row_count_raw"], outcome["rows_filtered"]) == (4, 2)
     gold = layers.read_layer(spark, layout.gold, "Playback", "20250416")
     assert rows(gold.select("Group", "AssetDuration", "PlayDurationExPause_median", "extraction_date")) == [
         ("g", 10, 20.0, "20250416")
@@ -256,6 +257,18 @@ def test_large_file_is_read_in_splits_and_stays_in_order(spark, tmp_path):
     assert "".join(p.read_text() for p in parts) == path.read_text()
 
 
+def test_configuration_files(spark, tmp_path):
+    path = tmp_path / "rules.json"
+    path.write_text(json.dumps(RULES, indent=2))
+    assert read_config(spark, str(path)) == RULES
+    assert read_config(spark, str(tmp_path / "absent.json")) == {}
+    assert brands_from(BRANDS)[0] == ("North TV", "NT") and brands_from({}) == []
+    assert columns_from(SCHEMAS, "Smartcard") == {"SmartcardId": "string", "Type": "string"}
+    assert columns_from(SCHEMAS, "Other") == {}
+    assert Settings().target_of("User") == "AGG_USER"
+    assert Settings().target_of("VODCatalog") == "AGG_VOD_CATALOG"
+
+
 def test_missing_layers_are_skipped(spark, layout, settings):
     assert silver_to_gold(spark, layout, "Device", "20250416") is None
     assert gold_to_target(spark, layout, settings, "Device", "20250416") is None

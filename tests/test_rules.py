@@ -33,6 +33,8 @@ def bad_ids(df, body, **options):
     ("body", "expected"),
     [
         ({"valid_types": {"column": "kind", "allowed_values": ["x", "y"]}}, [2, 4]),
+        ({"valid_types": {"column": "ex", "allowed_values": ["10", "other"]}}, [5]),
+        ({"valid_types": {"column": "ex", "allowed_values": [1, None]}}, [1, 2, 4]),
         ({"required_fields": {"columns": ["kind"]}}, [2, 3]),
         ({"required_fields": {"columns": ["kind"], "empty_is_missing": False}}, [3]),
         ({"required_fields": {"columns": ["kind", "ref", "absent"]}}, [2, 3]),
