@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from layerwise.functions.names import normalise_brand
 from layerwise.operators.dedup import splittable_equal
+from layerwise.session import local_frame
 
 # A lookup side is broadcast only when counted to hold at most this many rows and bytes.
 BROADCAST_MAX_ROWS = 10_000
@@ -34,7 +35,7 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
 def brand_frame(spark: SparkSession, brands: Sequence[tuple[str, str]]) -> DataFrame:
     """(position, file_name, brand_code) rows of the brand configuration."""
     rows = [(i, name, code) for i, (name, code) in enumerate(brands)]
-    return spark.createDataFrame(rows, "position int, file_name string, brand_code string")
+    return local_frame(spark, rows, "position int, file_name string, brand_code string")
 
 
 def _lookup(spark: SparkSession, dim: DataFrame | Sequence[tuple[str, str]], match: str) -> DataFrame:
@@ -43,7 +44,8 @@ def _lookup(spark: SparkSession, dim: DataFrame | Sequence[tuple[str, str]], mat
     A configured list is measured here. A frame is measured with a bounded count.
     """
     listed = not isinstance(dim, DataFrame)
-    frame = brand_frame(spark, dim) if listed else dim
+    # in one partition the grouping of a list needs no shuffle
+    frame = brand_frame(spark, dim).coalesce(1) if listed else dim
     keyed = (
         frame.groupBy(_key(match, F.col("file_name")).alias("__brand_key"))
         .agg(F.max_by("brand_code", "position").alias("__code"))

@@ -12,6 +12,8 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from layerwise.session import local_frame
+
 
 def as_date(token: str) -> date:
     return datetime.strptime(token, "%Y%m%d").date()
@@ -166,6 +168,7 @@ def ledger_entry(
     spark: SparkSession, filedate: str, status: str, table: str | None = None
 ) -> DataFrame:
     """One ledger row, stamped now."""
-    return spark.createDataFrame(
-        [(filedate, table, status)], "filedate string, table_name string, status string"
-    ).withColumn("processed_at", F.current_timestamp())
+    entry = local_frame(
+        spark, [(filedate, table, status)], "filedate string, table_name string, status string"
+    )
+    return entry.withColumn("processed_at", F.current_timestamp())

@@ -10,6 +10,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Message texts that alert consumers match on.
+EXCEEDED = "DATA QUALITY %s: Overall error rate is %.2f%%, exceeding threshold of %s%%"
+ACCEPTABLE = "Data quality acceptable: Error rate %.2f%%"
+NO_METRICS = "No data quality metrics available"
+
 
 def dq_by_table(gold_log: DataFrame, date_folder: str | None = None) -> DataFrame:
     """Records, errors and error percent per table, of one date or of each."""
@@ -49,7 +54,7 @@ def overall_gate(
     nothing = F.col("total_records") == 0
     gate = _gated(totals, error_threshold, warning_threshold)
     return gate.withColumn(
-        "message", F.when(nothing, "No data quality metrics available").otherwise(F.col("message"))
+        "message", F.when(nothing, NO_METRICS).otherwise(F.col("message"))
     )
 
 
@@ -61,11 +66,7 @@ def _gated(totals: DataFrame, error_threshold: float, warning_threshold: float)
     percent = F.col("error_percentage")
 
     def exceeds(level: str, threshold: float) -> Column:
-        text = (
-            f"DATA QUALITY {level}: Overall error rate is %.2f%%, "
-            f"exceeding threshold of {threshold}%%"
-        )
-        return F.format_string(text, percent)
+        return F.format_string(EXCEEDED, F.lit(level), percent, F.lit(str(threshold)))
 
     return gated.withColumns(
         {
@@ -74,7 +75,7 @@ def _gated(totals: DataFrame, error_threshold: float, warning_threshold: float)
             .otherwise("OK"),
             "message": F.when(percent > error_threshold, exceeds("ERROR", error_threshold))
             .when(percent > warning_threshold, exceeds("WARNING", warning_threshold))
-            .otherwise(F.format_string("Data quality acceptable: Error rate %.2f%%", percent)),
+            .otherwise(F.format_string(ACCEPTABLE, percent)),
         }
     )
 

@@ -19,7 +19,7 @@ from layerwise.config import DURATION_COLUMNS
 from layerwise.functions import casts
 from layerwise.operators.dedup import mark_repeats
 from layerwise.operators.schema import quoted
-from layerwise.session import lenient
+from layerwise.session import lenient, local_frame
 
 
 @dataclass(frozen=True)
@@ -234,7 +234,8 @@ def rule_frame(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
         )
         for r in rules
     ]
-    return spark.createDataFrame(
+    return local_frame(
+        spark,
         rows,
         "table_name string, rule_name string, kind string, columns array<string>, "
         "allowed array<string>, condition string, error_type string",

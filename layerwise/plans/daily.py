@@ -18,6 +18,7 @@ from layerwise.config import EMPTY_AS_NULL_DATES, STRING_COLUMNS, Settings, bran
 from layerwise.functions.names import iso_date, parse_source_name, slugify
 from layerwise.operators import dedup, enrich, incremental, presence, quality, report, schema, transform
 from layerwise.operators.rules import check_rules, parse_rules
+from layerwise.session import local_frame
 from layerwise.sources import landing as land
 from layerwise.sources import layers
 
@@ -62,6 +63,7 @@ def landing_to_silver(
     """
     source = layout.landing if paths is None else list(paths)
     catalog = land.landing_catalog(spark, source, settings.expected_tables, date)
+    catalog = catalog.drop("modified_at")
     rows = catalog.collect()
     layouts: dict[tuple[str, str, str], list[str]] = {}
     for row in rows:
@@ -77,7 +79,7 @@ def landing_to_silver(
     valid_paths = [path for same in layouts.values() for path in same]
     if copy_raw and valid_paths:
         layers.write_raw(_with_partitions(land.raw_lines(spark, valid_paths)), layout.raw)
-    files = spark.createDataFrame(rows, catalog.schema)
+    files = local_frame(spark, rows, catalog.schema)
     if rows:
         log = presence.raw_log(files, settings.expected_tables)
         layers.append_log(_stamped(log.withColumn("reseller", F.lit(""))), layout.logs, "raw_logs")
@@ -291,7 +293,8 @@ def _close_run(
         quality.dq_by_table(latest, date), settings.error_threshold, settings.warning_threshold
     )
     layers.append_log(_stamped(quality.dq_alerts(gate)), layout.logs, "data_quality_alerts")
-    run = spark.createDataFrame(
+    run = local_frame(
+        spark,
         [(spark.sparkContext.applicationId, date, started, datetime.now(timezone.utc), list(steps))],
         "process_id string, date_folder string, execution_start timestamp, "
         "execution_end timestamp, steps array<string>",

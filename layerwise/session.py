@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # Adaptive execution does the skew handling this engine relies on: skewed join sides
 # are split, and "rebalance" hints before a write split hot output partitions.
@@ -57,3 +59,12 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
 def lenient(spark: SparkSession):
     """Expressions analysed in this block give NULL where ANSI mode would stop the job."""
     return setting(spark, "spark.sql.ansi.enabled", "false")
+
+
+def local_frame(spark: SparkSession, rows: Sequence[Sequence], schema: str | T.StructType) -> DataFrame:
+    """A frame of configuration or status rows the driver holds, sent as one Arrow table."""
+    kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = {
+        item.name: pa.array([row[i] for row in rows]) for i, item in enumerate(kind.fields)
+    }
+    return spark.createDataFrame(pa.table(columns), kind)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from layerwise.functions.names import decode_file_name, parse_source_name, slugify
 from layerwise.operators.incremental import latest_file_per_group
 from layerwise.operators.schema import quoted
+from layerwise.session import local_frame
 
 DELIMITERS = (",", ";", "\t", "|", ":")
 SAMPLE_LINES = 5
@@ -61,7 +62,7 @@ def file_inventory(
         F.col("length").alias("file_size"),
         F.col("modificationTime").alias("modified_at"),
     )
-    listed = spark.createDataFrame([(name,) for name in files.inputFiles()], "path string")
+    listed = local_frame(spark, [(name,) for name in files.inputFiles()], "path string")
     name = decode_file_name(F.element_at(F.split("path", "/"), -1))
     empty = listed.withColumn("file_name", name).join(found, "file_name", "left_anti")
     return found.unionByName(

@@ -257,6 +257,11 @@ def test_large_file_is_read_in_splits_and_stays_in_order(spark, tmp_path):
     assert "".join(p.read_text() for p in parts) == path.read_text()
 
 
+def test_a_date_without_files(spark, layout, settings):
+    assert run_date(spark, layout, settings, "20990101") == "SUCCESS"
+    assert layers.read_log(spark, layout.logs, "raw_logs") is None
+
+
 def test_configuration_files(spark, tmp_path):
     path = tmp_path / "rules.json"
     path.write_text(json.dumps(RULES, indent=2))
