@@ -19,8 +19,9 @@ _MASK_BITS = 62
 
 def bad_rows(checked: Checked, columns: Sequence[str]) -> DataFrame:
     """Rows with at least one error, with their error types as comma-joined text."""
-    frame = checked.with_errors("__errors").filter(F.size("__errors") > 0)
-    return frame.select(*columns, F.array_join("__errors", ",").alias("errors"))
+    # filtered by the flags first, so good rows build no array
+    bad = Checked(checked.df.filter(checked.any_bad), checked.checks).with_errors("__errors")
+    return bad.select(*columns, F.array_join("__errors", ",").alias("errors"))
 
 
 def first_bad_rows(

@@ -217,7 +217,7 @@ def header_names(header: str, delimiter: str) -> list[str]:
     """Column names of a header line; a name repeated in any case gets a number."""
     names: list[str] = []
     for position, name in enumerate(next(csv.reader([header], delimiter=delimiter))):
-        base = name.strip().lstrip("﻿") or f"Unnamed: {position}"
+        base = name.strip().lstrip("\ufeff") or f"Unnamed: {position}"
         unique, n = base, 0
         while unique.lower() in {known.lower() for known in names}:
             n += 1

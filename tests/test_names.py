@@ -14,7 +14,7 @@ def values(spark, texts, *columns):
 @pytest.mark.parametrize(
     ("name", "brand", "table", "date"),
     [
-        ("Canal North_Device_20250416.csv", "Canal North", "Device", "20250416"),
+        ("Star North_Device_20250416.csv", "Star North", "Device", "20250416"),
         ("North - Resellers_Playback_20250416.csv", "North - Resellers", "Playback", "20250416"),
         ("Arts+ West_EPG_20250416.CSV", "Arts+ West", "EPG", "20250416"),
         ("My_Brand_User_20250416.csv", "My_Brand", "User", "20250416"),
