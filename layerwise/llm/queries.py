@@ -5,14 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, simhash
-from .common import table
+from . import decontamination, language, packing, simhash, toxicity
+from .common import held_out, table
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", held_out().alias("held_out"), model.score(docs["text"]).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language.learn(docs).predict(docs["text"])
+    scored = docs.select("doc_id", held_out().alias("held_out"), found.alias("found"))
+    return scored.select("doc_id", "held_out", "found.lang_pred", "found.score")
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_contamination(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        decontamination.digest(F.col("items")).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -20,5 +48,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op3_best_fit_packing, op7_simhash)}
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op2_language, op3_best_fit_packing, op4_decontamination, op7_simhash
+)}
 ORACLE: dict[str, str] = {}
