@@ -9,25 +9,56 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from layerwise.llm import packing, simhash
+from layerwise.llm import decontamination, language, packing, simhash, toxicity
 from layerwise.llm.common import table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+#: Documents that resemble no learned language this much are rejected.
+LEAST_LIKENESS = 0.1
+#: Documents with this toxicity score or more are rejected.
+TOXIC = 0.5
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a learned language stay; texts without letters, null ones included, and texts
+    unlike every profile go."""
+    profiles = language.learn(table(spark, sf_dir, "documents"))
+    found = docs.select(*docs.columns, profiles.predict(docs["text"]).alias("__found"))
+    known = (F.col("__found.lang_pred") != language.UNKNOWN) & (F.col("__found.score") >= LEAST_LIKENESS)
+    return found.where(known).select(docs.columns)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents below the toxicity threshold stay."""
+    model = toxicity.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    scored = docs.select(*docs.columns, model.score(docs["text"]).alias("__score"))
+    return scored.where(F.col("__score") < TOXIC).select(docs.columns)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays: the one of the least id."""
     return simhash.keep_one(docs)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark passages are cut out; documents of which no word is left go."""
+    return decontamination.remove_contamination(docs, table(spark, sf_dir, "benchmark"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of what is left, with their places in sequences of 2048 tokens."""
     return packing.pack(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", identify_language),
+    ("toxicity", drop_toxic),
     ("simhash_near_dedup", near_dedup),
+    ("benchmark_decontamination", decontaminate),
     ("best_fit_packing", pack),
 ]
 #: The stages' models and searches have no SQL form; they are tested against brute force.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, packing, simhash, toxicity
+from . import decontamination, html_text, language, materialise, packing, sharding, simhash, sketches, token_files, toxicity
 from .common import held_out, table
 
 
@@ -41,6 +41,24 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.document_tokens(table(spark, sf_dir, "documents"))
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    crc = F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", crc)
+    return sharding.shard_by_bytes(docs).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -48,7 +66,21 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialise.training_order(table(spark, sf_dir, "documents"))
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.compare_versions(table(spark, sf_dir, "documents"))
+
+
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_toxicity, op2_language, op3_best_fit_packing, op4_decontamination, op7_simhash
+    op1_toxicity, op2_language, op3_best_fit_packing, op4_decontamination, op5_token_counts,
+    op6_sharding, op7_simhash, op8_training_order, op9_fingerprints, op10_html,
 )}
 ORACLE: dict[str, str] = {}
