@@ -18,7 +18,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 #: Documents that resemble no learned language this much are rejected.
-LEAST_LIKENESS = 0.1
+LEAST_LIKENESS = 0.3
 #: Documents with this toxicity score or more are rejected.
 TOXIC = 0.5
 

@@ -290,13 +290,9 @@ def _to_least(edges: DataFrame, least: DataFrame) -> DataFrame:
     return edges.join(key, F.col("u").eqNullSafe(F.col("__k"))).drop("__k")
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, words: int = WORDS) -> DataFrame:
-    """``doc_id``, ``fp`` and ``component_id``, the least ``doc_id`` reachable over links.
-
-    Null and empty texts have fingerprint 0 and link like others. Null ids are passed over when
-    the least is taken. Equal rows come back once each; other columns are not read. No documents
-    give no rows.
-    """
+def components(docs: DataFrame, radius: int = RADIUS, words: int = WORDS) -> DataFrame:
+    """``doc_id``, ``fp``, ``root`` (the least fingerprint of the component) and
+    ``component_id`` (its least ``doc_id``) of every row."""
     prints = written(fingerprints(docs.select("doc_id", "text"), words).select("doc_id", "fp"), "fingerprints")
     classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     roots = connected(shard_links(classes.select("fp"), radius))
@@ -305,31 +301,48 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, words: int = WORDS) -
     )
     rooted = written(rooted, "rooted")
     low = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    low = low.withColumnRenamed("root", "__r")
     named = written(
-        rooted.join(low.withColumnRenamed("root", "__r"), F.col("root").eqNullSafe(F.col("__r"))).select(
-            F.col("fp").alias("__fp"), "component_id"
+        rooted.join(low, F.col("root").eqNullSafe(F.col("__r"))).select(
+            F.col("fp").alias("__fp"), "root", "component_id"
         ),
         "components",
     )
-    return prints.join(named, prints["fp"].eqNullSafe(named["__fp"])).select("doc_id", "fp", "component_id")
+    return prints.join(named, prints["fp"].eqNullSafe(named["__fp"])).drop("__fp")
 
 
-def keep_one(docs: DataFrame, radius: int = RADIUS, words: int = WORDS) -> DataFrame:
-    """``docs`` without all but one document of each component: the one of the least id.
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, words: int = WORDS) -> DataFrame:
+    """``doc_id``, ``fp`` and ``component_id``, the least ``doc_id`` reachable over links.
 
-    Where rows share that id, one row of the component's least fingerprint is kept. Documents
-    with a null id in a component without any id are kept as one.
+    Null and empty texts have fingerprint 0 and link like others. Null ids are passed over when
+    the least is taken. Equal rows come back once each; other columns are not read. No documents
+    give no rows.
     """
-    found = near_duplicates(docs, radius, words)
-    mine = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = written(mine.groupBy("component_id").agg(F.count(F.lit(1)).alias("rows")), "kept")
-    whole = docs.withColumn("__id", F.col("doc_id"))
-    ids = kept.select(F.col("component_id").alias("__keep"), "rows")
-    one = whole.join(ids, F.col("__id").eqNullSafe(F.col("__keep")))
-    single = one.where("rows = 1").select(docs.columns)
-    if kept.where("rows > 1").isEmpty():
-        return single
-    first = one.where("rows > 1").groupBy("__id").agg(
-        F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("__row")
+    return components(docs, radius, words).select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, radius: int = RADIUS, words: int = WORDS) -> DataFrame:
+    """``docs`` without all but one document of each component: the one of the least id (null
+    ids last), then of the least fingerprint. Where several rows have that id, their fingerprints
+    tell which is meant, and of rows alike in both the one of the least hash stays.
+    """
+    found = written(components(docs, radius, words), "found")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp"))
+    picked = found.groupBy("root").agg(least.alias("p")).select("root", "p.doc_id", "p.fp")
+    rows = found.groupBy(F.col("doc_id").alias("__id")).agg(F.count(F.lit(1)).alias("__rows"))
+    kept = picked.join(rows, picked["doc_id"].eqNullSafe(rows["__id"])).select(
+        F.col("root").alias("__root"), "__id", F.col("fp").alias("__fp"), "__rows"
+    )
+    kept = written(kept, "kept")
+    one = docs.join(kept.where("__rows = 1"), docs["doc_id"].eqNullSafe(F.col("__id"))).select(docs.columns)
+    several = kept.where("__rows > 1")
+    if several.isEmpty():
+        return one
+    whole = F.struct(*docs.columns).alias("__row")
+    again = docs.select("doc_id", "text", whole).join(
+        several.select("__id").distinct(), docs["doc_id"].eqNullSafe(F.col("__id")), "left_semi"
     )
-    return single.unionByName(first.select("__row.*"))
+    again = fingerprints(again, words).withColumnRenamed("doc_id", "__doc")
+    same = F.col("__doc").eqNullSafe(F.col("__id")) & F.col("fp").eqNullSafe(F.col("__fp"))
+    first = again.join(several, same).groupBy("__root").agg(F.min_by("__row", F.xxhash64("__row")).alias("__row"))
+    return one.unionByName(first.select("__row.*"))

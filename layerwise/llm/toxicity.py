@@ -159,7 +159,7 @@ def _shares(listed: DataFrame) -> list[tuple[int, bytes]]:
                     data = counts[toxic, i * width : (i + 1) * width].tobytes()
                     yield pd.DataFrame({"toxic": [toxic], "slice": [i], "counts": [data]})
 
-    def add(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def add(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(d, dtype="<i8") for d in frame["counts"])
         return pd.DataFrame({"toxic": [key[0]], "slice": [key[1]], "counts": [total.tobytes()]})
 

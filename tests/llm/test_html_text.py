@@ -1,0 +1,100 @@
+import html
+import re
+
+import pytest
+
+from layerwise.llm.html_text import extract, main_text
+from layerwise.llm.queries import QUERIES
+
+PROSE = "The cat is on the mat and it was in the house of the man."
+
+
+def page(body):
+    return f'<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var t="</p>";</script></head><body>{body}</body></html>'
+
+
+@pytest.mark.parametrize(
+    "outside",
+    [
+        "<nav><a href=/>Home</a> <a href=/a>About the site and all that is in it for you</a></nav>",
+        f"<header><p>{PROSE}</p></header>",
+        f"<footer>&copy; {PROSE}</footer>",
+        f"<aside><p>{PROSE}</p></aside>",
+        f'<div class="ad">{PROSE}</div>',
+        f'<div id="cookie-notice"><p>{PROSE}</p></div>',
+        f'<div class="sidebar left"><p>{PROSE}</p></div>',
+        f'<section id="comments"><p>{PROSE}</p><p>First!</p></section>',
+        f"<form><label>{PROSE}</label><textarea>{PROSE}</textarea></form>",
+        f"<script>x = '<p>{PROSE}</p>'</script><style>p {{}}</style><noscript><p>{PROSE}</p></noscript>",
+        f"<!-- <p>{PROSE}</p> -->",
+        f'<div role="navigation">{PROSE}</div>',
+        f'<p hidden>{PROSE}</p><div style="display: none">{PROSE}</div>',
+    ],
+)
+def test_what_is_not_article(outside):
+    article = f"<article><h1>Head</h1><p>{PROSE}</p><p>Short.</p></article>"
+    text = f"Head\n\n{PROSE}\n\nShort."
+    assert main_text(page(outside + article)) == text
+    assert main_text(page(article + outside)) == text
+    if outside.startswith(("<div", "<section", "<aside", "<form", "<!--", "<script")):
+        inside = f"<article><h1>Head</h1>{outside}<p>{PROSE}</p><p>Short.</p></article>"
+        assert main_text(page(inside)) == text
+
+
+def test_rules_without_an_article_element():
+    body = f"<div><p>{PROSE}</p><p>Short one.</p><p>{PROSE}</p></div><ul><li><a href=1>One</a></li><li><a href=2>Two</a></li></ul>"
+    assert main_text(page(body)) == f"{PROSE}\n\nShort one.\n\n{PROSE}"
+    heading = f"<ul><li><a href=1>One</a></li></ul><h2>Title</h2><p>{PROSE}</p>"
+    assert main_text(page(heading)) == f"Title\n\n{PROSE}"
+    stray = "<p><a href=1>One</a></p><p>stray</p><p><a href=1>Two</a></p>"
+    assert main_text(page(stray)) == ""
+    words = " ".join(["Zork"] * 40)  # long, without function words
+    assert main_text(page(f"<p>{words}</p><p>{PROSE}</p>")) == PROSE
+
+
+def test_references_and_white_space():
+    body = "<article><p>a &amp;&lt;b&gt; &eacute;&#233;&#xe9; \n\t c&nbsp;d<br>e<b>f</b>g &unknown; 1 < 2</p></article>"
+    assert main_text(body) == "a &<b> ééé c d efg &unknown; 1 < 2"
+
+
+@pytest.mark.parametrize(
+    "source,text",
+    [
+        (None, ""),
+        ("", ""),
+        ("<article><p>One <b>two<p>three</article>", "One two\n\nthree"),
+        ("<article><p>cut off in the mid", "cut off in the mid"),
+        ("<article><p>a tag <a href='x", "a tag"),
+        ("<article>x</div></p>y</article>", "x\n\ny"),
+        ("<article><table><tr><td>a<td>b</table></article>", "a\n\nb"),
+        ("<article><pre>a\n  b</pre></article>", "a b"),
+        ("<ARTICLE><P CLASS=x>upper</P></ARTICLE>", "upper"),
+        ("<article>" + "<div>" * 3000 + "deep" + "</div>" * 3000 + "</article>", "deep"),
+    ],
+)
+def test_broken_pages(source, text):
+    assert main_text(source) == text
+
+
+def test_odd_rows(spark):
+    long = f"<article>{f'<p>{PROSE}</p>' * 5000}</article>"
+    rows = [(1, f"<article><p>{PROSE}</p></article>", "t", "u"), (1, f"<article><p>{PROSE}</p></article>", "t", "u"), (None, None, None, None), (2, "", "", ""), (3, long, "x", "y")]
+    pages = spark.createDataFrame(rows, "page_id bigint, html string, text string, N_CHARS string")
+    out = extract(pages)
+    assert out.columns == ["page_id", "html", "text", "n_chars"]
+    got = sorted((str(r["page_id"]), r["text"], r["n_chars"]) for r in out.collect())
+    texts = [PROSE, PROSE, "", "", "\n\n".join([PROSE] * 5000)]
+    assert got == sorted((str(r[0]), t, len(t)) for r, t in zip(rows, texts))
+    assert extract(pages.where("false")).collect() == []
+
+
+def test_query(spark, sf_dir):
+    """Every character of the articles of the given pages, and none from outside of them."""
+    rows = {r["page_id"]: r for r in QUERIES["op10_html"](spark, sf_dir).collect()}
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").collect()
+    assert len(rows) == len(pages)
+    for p in pages:
+        article = re.search(r"<article>(.*?)(</article>|$)", p["html"], re.S)[1]
+        plain = html.unescape(re.sub(r"<[^>]+>", "", article))
+        got = rows[p["page_id"]]
+        assert "".join(got["text"].split()) == "".join(plain.split()) and got["n_chars"] == len(got["text"])
