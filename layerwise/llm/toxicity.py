@@ -25,6 +25,8 @@ BUCKETS = 1 << 20
 SAMPLE = 3_000
 #: Features that are kept for the fit, by the size of their ratio and how many rows have them.
 FEATURES = 3_000
+#: Least strength of a feature: its ratio's size times the root of the rows that have it.
+STRENGTH = 10.0
 _CHUNK = 1 << 20
 _FACTORS = {n: np.uint64(0x9E3779B97F4A7C15 * (2 * n + 1) % (1 << 64)) for n in ORDERS}
 
@@ -130,7 +132,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int =
         totals = [numbers.get(c, 0) for c in (0, 1)]
         seen = counts.sum(0)
         ratio = np.log((counts[1] + 1) / (totals[1] + 2)) - np.log((counts[0] + 1) / (totals[0] + 2))
-        gain = np.where(seen >= 3, np.abs(ratio) * np.sqrt(seen), 0.0)
+        gain = np.abs(ratio) * np.sqrt(seen)
+        gain[gain < STRENGTH] = 0
         few = min(FEATURES, int((gain > 0).sum()))
         kept = np.sort(np.argpartition(-gain, few - 1)[:few]) if few else np.empty(0, dtype=np.int64)
         labels_, lists = _kept_features(listed, kept)
