@@ -140,6 +140,47 @@ def run_log(runs: DataFrame, gate: DataFrame, expected_tables: int) -> DataFrame
     )
 
 
+def failed_run_log(runs: DataFrame, expected_tables: int) -> DataFrame:
+    """Run-log rows of runs that broke off: ``run_log`` columns with status ERROR.
+
+    ``runs`` has what ``run_log`` asks for and ``error_message``. No table counts as processed.
+    """
+    seconds = F.timestamp_diff("SECOND", F.col("execution_start"), F.col("execution_end"))
+    zero = F.lit(0).cast("bigint")
+    details = F.to_json(F.struct(F.lit("ERROR").alias("status"), F.col("error_message").alias("message")))
+    return runs.select(
+        "process_id",
+        "date_folder",
+        "execution_start",
+        "execution_end",
+        seconds.alias("duration_seconds"),
+        F.lit("ERROR").alias("status"),
+        zero.alias("tables_processed"),
+        zero.alias("tables_success"),
+        zero.alias("tables_warning"),
+        F.lit(expected_tables).cast("bigint").alias("tables_error"),
+        zero.alias("total_records"),
+        zero.alias("valid_records"),
+        zero.alias("error_records"),
+        "error_message",
+        F.col("steps").alias("steps_completed"),
+        details.alias("processing_details"),
+    )
+
+
+def failure_alerts(runs: DataFrame) -> DataFrame:
+    """A CRITICAL alert row for each run that broke off."""
+    details = F.to_json(
+        F.struct(F.col("error_message").alias("message"), F.lit("CRITICAL").alias("severity"))
+    )
+    return runs.select(
+        "date_folder",
+        F.lit("CRITICAL").alias("alert_type"),
+        F.col("error_message").alias("message"),
+        details.alias("details"),
+    )
+
+
 def dq_alerts(gate: DataFrame, severities: Sequence[str] = ("WARNING", "ERROR", "CRITICAL")) -> DataFrame:
     """Alert rows (date, type, message, JSON details) for gates that are not OK."""
     raised = gate.filter(F.col("status").isin(list(severities)))

@@ -212,18 +212,23 @@ def gold_log(
     return _gold_columns(totals, checked, group, len(masks))
 
 
-def gold_record(log: DataFrame, rejected: int = 0) -> DataFrame:
-    """A gold log with the load counts, message and JSON details of the monitoring table."""
+def gold_record(log: DataFrame) -> DataFrame:
+    """A gold log with the load counts, message and JSON details of the monitoring table.
+
+    ``rows_rejected``, where the log has it, are rows the load turned away; the others of those
+    left by the dedup were inserted.
+    """
     failed, errors = F.col("checks_failed"), F.col("records_error")
     message = F.format_string("%d checks failed with %d records in error", failed, errors)
     zero = F.lit(0).cast("bigint")
+    rejected = F.coalesce("rows_rejected", zero) if "rows_rejected" in log.columns else zero
     loaded = {
         "reseller": F.lit(""),
         "brands_aggregated": F.lit(1).cast("bigint"),
         "records_warning": zero,
-        "rows_inserted": F.col("records_after_agg"),
+        "rows_inserted": F.col("records_after_agg") - rejected,
         "rows_updated": zero,
-        "rows_rejected": F.lit(rejected).cast("bigint"),
+        "rows_rejected": rejected,
         "error_message": F.when(F.col("status") == "OK", "").otherwise(message),
         "business_checks_details": F.to_json(
             F.struct(failed.alias("validation_error_count"), errors.alias("total_error_count"))

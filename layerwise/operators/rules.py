@@ -61,7 +61,7 @@ def _parse(table: str, name: str, body: Mapping) -> Rule:
     if name == "date_validation" and columns:
         formats = tuple(body.get("formats", ()))
         return Rule(kind="date_validation", columns=columns, date_formats=formats, **common)
-    if name == "duration_validation":
+    if name == "duration_validation" and "condition" not in body:
         return Rule(kind="duration", columns=columns or DURATION_COLUMNS, **common)
     if "condition" in body:
         policy = body.get("null_policy", "fail")

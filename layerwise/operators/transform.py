@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from layerwise.functions.casts import to_float
 from layerwise.operators.dedup import order_value, splittable_equal
 from layerwise.session import lenient
 
@@ -77,8 +78,12 @@ def config_aggregate(
     """
     if not keys or not aggregates:
         return df
+    absent = [c for c in (*keys, *aggregates) if c not in df.columns]
+    if absent:
+        raise ValueError(f"no column {', '.join(absent)}")
     if dropna:
         df = df.dropna(subset=list(keys))
+    df = _numeric(df, aggregates)
     plain: list[Column] = []
     ends: list[Column] = []
     medians: list[tuple[str, str]] = []
@@ -103,6 +108,27 @@ def config_aggregate(
     return joined.select(*keys, *outputs)
 
 
+_NUMERIC = {"sum", "mean", "avg", "std", "var", "median"}
+
+
+def _numeric(df: DataFrame, aggregates: Mapping[str, str | Sequence[str]]) -> DataFrame:
+    """Text columns of numeric aggregates as numbers, NULL where they hold none. A type that
+    holds no numbers is an error."""
+    changed = {}
+    for column, names in aggregates.items():
+        wanted = {names} if isinstance(names, str) else set(names)
+        kind = df.schema[column].dataType
+        if not wanted & _NUMERIC or isinstance(kind, T.NumericType):
+            continue
+        if not isinstance(kind, T.StringType):
+            raise ValueError(f"{column} is {kind.simpleString()}: no {', '.join(sorted(wanted & _NUMERIC))}")
+        if wanted <= _NUMERIC:
+            changed[column] = to_float(F.col(column))
+        else:
+            raise ValueError(f"{column} is text: {', '.join(sorted(wanted & _NUMERIC))} cannot go with the others")
+    return df.withColumns(changed) if changed else df
+
+
 def _present(df: DataFrame, column: str) -> Column:
     """The value with NaN as missing, as NULL is."""
     value = F.col(column)

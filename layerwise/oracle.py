@@ -19,6 +19,11 @@ SELECT event_id, user_id, event_type AS table_name,
  {_DAY} AS filedate
 FROM events)"""
 
+_NOTED = f"""n AS (SELECT *, CASE WHEN event_id % 7 = 0 THEN 'a' || sep || 'b' WHEN event_id % 11 = 0 THEN 'two' || chr(10) || 'lines'
+  WHEN event_id % 13 = 0 THEN 'a "word" in quotes' ELSE 'n' || event_id END AS note
+ FROM (SELECT event_id, user_id, event_type, CASE event_type WHEN 'signup' THEN ',' WHEN 'purchase' THEN ';'
+  WHEN 'view' THEN chr(9) WHEN 'click' THEN '|' ELSE ':' END AS sep FROM events))"""
+
 _FILES = f"""f AS (
 SELECT 'User ' || user_id AS brand, {_DAY} AS filedate, event_type AS table_name FROM events)"""
 
@@ -151,6 +156,42 @@ SELECT l_orderkey AS file, true AS valid,
  CASE l_orderkey % 4 WHEN 0 THEN ',' WHEN 1 THEN ';' WHEN 2 THEN chr(9) ELSE '|' END AS delimiter,
  CAST(5 AS BIGINT) AS n_columns, CAST(least(count(*), 5) - 1 AS BIGINT) AS sample_rows
 FROM lineitem GROUP BY l_orderkey""",
+    "landing_roundtrip": f"""WITH {_NOTED}
+SELECT event_id, user_id, event_type, note FROM n""",
+    "landing_rejects": """
+SELECT CASE WHEN event_id % 10 <> 0 AND event_id % 15 <> 5 THEN event_type END AS event_type,
+ CASE WHEN event_id % 10 = 0 THEN event_id || ',' || event_type || ',EXTRA'
+  WHEN event_id % 15 = 5 THEN CAST(event_id AS VARCHAR) END AS record, count(*) AS n_rows,
+ CAST(sum(CASE WHEN event_id % 10 <> 0 AND event_id % 15 <> 5 THEN event_id END) AS BIGINT) AS id_sum
+FROM events GROUP BY 1, 2""",
+    "file_inventory": """
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS empty_files,
+ CAST(sum(strlen(event_id || ',' || user_id) + 1) AS BIGINT) AS data_bytes FROM events""",
+    "raw_copy": f"""WITH {_NOTED}, w AS (SELECT event_type,
+  event_id || sep || user_id || sep || event_type || sep || CASE
+   WHEN contains(note, '"') THEN '"' || replace(note, '"', '""') || '"'
+   WHEN contains(note, sep) OR contains(note, chr(10)) THEN '"' || note || '"' ELSE note END AS line FROM n)
+SELECT event_type AS table_name, CAST(sum(1 + CAST(contains(line, chr(10)) AS INT)) AS BIGINT) AS n_lines,
+ CAST(sum(strlen(replace(line, chr(10), ''))) AS BIGINT) AS n_bytes FROM w GROUP BY event_type""",
+    "redelivery": """
+SELECT count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS id_sum, CAST(1 AS BIGINT) AS n_tables
+FROM events WHERE event_id % 2 = 0""",
+    "failed_runs": f"""WITH {_LEDGER}, s AS (SELECT filedate, arg_max(status, processed_at) AS status,
+  max(processed_at) AS last FROM l GROUP BY filedate)
+SELECT 'run-' || filedate AS process_id, filedate AS date_folder, CAST(90 AS BIGINT) AS duration_seconds,
+ 'ERROR' AS status, CAST(5 AS BIGINT) AS tables_error, 'entry ' || last AS error_message, 'CRITICAL' AS alert_type,
+ '{{"message":"entry ' || last || '","severity":"CRITICAL"}}' AS details FROM s WHERE status = 'failed'""",
+    "config_aggregate_unusable": _d(
+        """SELECT c.name AS "case", c.failed, CASE WHEN c.failed THEN t.n ELSE t.total END AS n_rows
+FROM (SELECT count(*) AS n, CAST(sum(try_cast(user_ref AS BIGINT)) AS BIGINT) AS total FROM d) t,
+ (VALUES ('absent key', true), ('absent column', true), ('unknown name', true), ('mixed text', true),
+  ('text sum', false)) c(name, failed)"""
+    ),
+    "configured_gold": _d(
+        """SELECT kind, brand, CAST(sum(ex_pause) AS BIGINT) AS ex_pause, count(event_id) AS event_id_count,
+ max(event_id) AS event_id_max, '20240131' AS extraction_date
+FROM d WHERE asset_duration > 10 AND kind <> '' GROUP BY kind, brand"""
+    ),
     "extract_date_token": _d(
         """, o AS (SELECT CASE table_name WHEN 'view' THEN 'raw/' || filedate || '/x.csv'
   WHEN 'error' THEN 'nodate_' || brand || '.csv'

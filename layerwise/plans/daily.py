@@ -11,17 +11,25 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from layerwise.config import EMPTY_AS_NULL_DATES, STRING_COLUMNS, Settings, brands_from, columns_from
 from layerwise.functions.names import iso_date, parse_source_name, slugify
-from layerwise.operators import dedup, enrich, incremental, presence, quality, report, schema, transform
+from layerwise.operators import dedup, enrich, incremental, merge, presence, quality, report, schema, transform
 from layerwise.operators.rules import check_rules, parse_rules
+from layerwise.operators.schema import quoted
 from layerwise.session import local_frame
 from layerwise.sources import landing as land
 from layerwise.sources import layers
 
+REJECT = "src_reject"
+NO_DATA, FAILED = "NO_DATA", "FAILED"
+RUN_COLUMNS = (
+    "process_id string, date_folder string, execution_start timestamp, "
+    "execution_end timestamp, steps array<string>"
+)
 SOURCE_COLUMNS = ("src_brand", *land.POSITION)
 
 
@@ -58,34 +66,67 @@ def landing_to_silver(
     All files of the landing folder, those of a date, or the ones at ``paths``.
 
     The catalog, one small row per file, is the only thing the driver collects, as it does for
-    any file listing. Files of a table with the same delimiter and header are read in one
-    scan, so the number of scans follows the number of layouts, not of files.
+    any file listing. Files of a table with the same layout are read in one scan, so the number
+    of scans follows the number of layouts, not of files. Records that do not fit their header
+    are kept in ``landing_rejects``, files that cannot be read in ``file_rejects``. What earlier
+    deliveries of the catalog's files left in silver goes first, so a file without rows, or one
+    that cannot be read now, leaves none behind.
     """
     source = layout.landing if paths is None else list(paths)
     catalog = land.landing_catalog(spark, source, settings.expected_tables, date)
     catalog = catalog.drop("modified_at")
     rows = catalog.collect()
-    layouts: dict[tuple[str, str, str], list[str]] = {}
+    layouts: dict[tuple[str, str | None, str, bool], list[str]] = {}
     for row in rows:
+        own = [(layers.PART_DATE, row.filedate), ("brand_slug", row.brand_slug), ("src_file", row.file_name)]
+        layers.drop_partition(spark, f"{layout.silver}/{row.table_name}", own)
+        layers.drop_partition(spark, f"{layout.logs}/landing_rejects/{row.table_name}", own)
         if row.valid:
-            layouts.setdefault((row.table_name, row.delimiter, row.header), []).append(row.path)
+            key = (row.table_name, row.delimiter, row.header, row.multi_line)
+            layouts.setdefault(key, []).append(row.path)
     by_table: dict[str, list[DataFrame]] = {}
-    for (table, delimiter, header), same in layouts.items():
-        frame = land.read_landing(spark, same, delimiter, header)
+    for (table, delimiter, header, multi_line), same in layouts.items():
+        frame = land.read_landing(
+            spark, same, delimiter, header, multi_line=multi_line, reject_column=REJECT
+        )
         by_table.setdefault(table, []).append(frame)
     for table, frames in by_table.items():
-        silver = _with_partitions(schema.harmonized_union(frames))
-        layers.write_partitioned(silver, f"{layout.silver}/{table}", layers.FILE_PARTITIONS)
+        _write_silver(spark, layout, table, schema.harmonized_union(frames))
     valid_paths = [path for same in layouts.values() for path in same]
     if copy_raw and valid_paths:
         layers.write_raw(_with_partitions(land.raw_lines(spark, valid_paths)), layout.raw)
     files = local_frame(spark, rows, catalog.schema)
+    unread = [row for row in rows if not row.valid]
+    if unread:
+        rejected = local_frame(spark, unread, catalog.schema).select(
+            "file_name", "brand", "table_name", "filedate", "file_size"
+        )
+        layers.append_log(_stamped(rejected), layout.logs, "file_rejects")
     if rows:
         log = presence.raw_log(files, settings.expected_tables)
         layers.append_log(_stamped(log.withColumn("reseller", F.lit(""))), layout.logs, "raw_logs")
     return files
 
 
+def _write_silver(spark: SparkSession, layout: Layout, table: str, rows: DataFrame) -> None:
+    """Records that fit go to silver; the others, if the scan met any, to ``landing_rejects``."""
+    met = Observation()
+    seen = rows.observe(met, F.count_if(F.col(REJECT).isNotNull()).alias("n"))
+    silver = _with_partitions(seen.filter(F.col(REJECT).isNull()).drop(REJECT))
+    layers.write_partitioned(silver, f"{layout.silver}/{table}", layers.FILE_PARTITIONS, rebalance=False)
+    if met.get["n"]:
+        rejects = _with_partitions(rows.filter(F.col(REJECT).isNotNull()))
+        fields = [quoted(c) for c in rows.columns if c != REJECT and c not in land.POSITION]
+        values = F.size(F.array_compact(F.array(*fields))).alias("n_values")
+        own = [F.col(REJECT).alias("record"), values, "src_block", "src_row", *layers.FILE_PARTITIONS]
+        layers.write_partitioned(
+            rejects.select(*own),
+            f"{layout.logs}/landing_rejects/{table}",
+            layers.FILE_PARTITIONS,
+            rebalance=False,
+        )
+
+
 def _with_partitions(df: DataFrame) -> DataFrame:
     parsed = parse_source_name(F.col("src_file"))
     return df.withColumns(
@@ -110,6 +151,7 @@ def silver_to_gold(
     """
     silver = layers.read_layer(spark, layout.silver, table, date)
     if silver is None:
+        layers.drop_partition(spark, f"{layout.gold}/{table}", [(layers.PART_DATE, date)])
         return None
     rows = schema.add_lineage(
         silver.drop("brand_slug"),
@@ -154,13 +196,14 @@ def silver_to_gold_configured(
     if silver is None:
         return None
     declared = columns_from(layout.schemas, table)
-    rows = schema.schema_cast(silver, declared, valid_flags=False)
     outcome: dict = {"table_name": table, "date": date}
-    filtered = transform.config_filter(rows, table_config.get("filter_conditions"))
-    outcome["row_count_raw"] = silver.count()
+    rows = schema.schema_cast(silver, declared, valid_flags=False)
+    condition = table_config.get("filter_conditions")
+    filtered = transform.config_filter(rows, condition)
     if filtered.error:
         outcome["filter_error"] = filtered.error
-    elif table_config.get("filter_conditions"):
+    outcome["row_count_raw"] = rows.count()
+    if condition and not filtered.error:
         outcome["rows_filtered"] = outcome["row_count_raw"] - filtered.df.count()
     keys = table_config.get("key_columns") or []
     aggregates = table_config.get("aggregate_columns") or {}
@@ -169,7 +212,7 @@ def silver_to_gold_configured(
         try:
             result = transform.config_aggregate(filtered.df, keys, aggregates, land.POSITION)
             outcome["aggregation_applied"] = True
-        except (ValueError, KeyError) as error:
+        except (ValueError, AnalysisException) as error:
             outcome["aggregation_error"] = str(error)
     result = result.withColumns(
         {
@@ -191,8 +234,10 @@ def gold_to_target(
     Two passes over the partition, whatever the number of brands and rules: the load and the log.
     """
     started = datetime.now(timezone.utc)
+    target = f"{layout.target_schema}.{settings.target_of(table)}"
     gold = layers.read_layer(spark, layout.gold, table, date)
     if gold is None:
+        layers.clear_table(spark, target, date)
         return None
     declared = columns_from(layout.schemas, table)
     conversions = {
@@ -213,7 +258,6 @@ def gold_to_target(
             "LOADEDBY": F.lit(settings.loaded_by),
         },
     )
-    target = f"{layout.target_schema}.{settings.target_of(table)}"
     if spark.catalog.tableExists(target):
         wanted = spark.table(target).columns
     elif declared:
@@ -223,9 +267,11 @@ def gold_to_target(
     # a Spark target has no reserved column names
     projected = schema.project_to_target(loaded, wanted, reserved=())
     clean = schema.apply_null_policy(projected, date_columns=EMPTY_AS_NULL_DATES)
-    loaded_rows = layers.load_table(clean, target, date)
+    loaded_rows, rejects = _load(spark, layout, table, target, date, clean)
 
     log = report.gold_log(rows, rules, ["BRAND"], keys, land.POSITION)
+    if rejects is not None:
+        log = log.join(rejects, F.col("BRAND").eqNullSafe(F.col("__brand")), "left").drop("__brand")
     log = enrich.enrich_brand(log, brands_from(dict(layout.brands)))
     log = report.gold_record(log.drop("BRAND").withColumnRenamed("BRAND_CODE", "brand"))
     ended = datetime.now(timezone.utc)
@@ -240,6 +286,53 @@ def gold_to_target(
     return loaded_rows
 
 
+def _load(
+    spark: SparkSession, layout: Layout, table: str, target: str, date: str, rows: DataFrame
+) -> tuple[int, DataFrame | None]:
+    """Load the rows whose values fit the target's types; the others are kept in ``load_rejects``.
+
+    Returns the rows loaded and, where any were turned away, their number per brand.
+    """
+    place = (f"{layout.logs}/load_rejects/{table}", [(layers.PART_DATE, date)])
+    layers.drop_partition(spark, *place)
+    if not spark.catalog.tableExists(target):
+        return layers.load_table(rows, target, date), None
+    types = {f.name: f.dataType for f in spark.table(target).schema.fields if f.name != layers.TARGET_DATE}
+    load = merge.load_with_rejects(rows, types)
+    met = Observation()
+    tried = load.tried.observe(met, F.count_if(F.col("reject_columns") != "").alias("n"))
+    number = layers.load_table(tried.filter("reject_columns = ''").select(*load.columns), target, date)
+    if not met.get["n"]:
+        return number, None
+    rejected = load.rejected.withColumn(layers.PART_DATE, F.lit(date))
+    layers.write_partitioned(rejected, place[0], [layers.PART_DATE])
+    per_brand = load.rejected.groupBy(F.col("BRAND").alias("__brand"))
+    return number, per_brand.agg(F.count(F.lit(1)).alias("rows_rejected"))
+
+
+def run_pending(
+    spark: SparkSession, layout: Layout, settings: Settings, reference: str, force: bool = False
+) -> dict[str, str]:
+    """Every date in the lookback window that has files and is not done, oldest first.
+
+    A date that breaks off is recorded and does not keep the later ones from running.
+    """
+    names = land.file_inventory(spark, layout.landing, land.csv_glob()).select("file_name").distinct()
+    available = names.select(parse_source_name(F.col("file_name"))["filedate"].alias("filedate"))
+    ledger = layers.read_log(spark, layout.logs, "ledger")
+    if ledger is None:
+        ledger = incremental.ledger_entry(spark, reference, "success").filter("false")
+    done = incremental.processed_dates(ledger, settings.expected_tables)
+    dates = incremental.pending_dates(available, done, reference, settings.lookback_days, force)
+    statuses: dict[str, str] = {}
+    for row in dates.collect():  # as many as the window has days
+        try:
+            statuses[row.filedate] = run_date(spark, layout, settings, row.filedate, force)
+        except Exception:
+            statuses[row.filedate] = "ERROR"
+    return statuses
+
+
 def run_date(
     spark: SparkSession,
     layout: Layout,
@@ -247,7 +340,13 @@ def run_date(
     date: str,
     force: bool = False,
 ) -> str:
-    """All steps for one date, then gate, alerts, ledger and run log; returns the run status."""
+    """All steps for one date, then gate, alerts, ledger and run log; returns the run status.
+
+    A table is recorded as a success when rows of it were loaded, as failed when a file of it
+    could not be read, and as without data otherwise. The date is a success when some expected
+    table is and none failed. A date without files leaves no entry and can be run later. A step
+    that breaks off leaves an ERROR run, a CRITICAL alert and a failed entry.
+    """
     ledger = layers.read_log(spark, layout.logs, "ledger")
     if ledger is not None and not force:
         done = incremental.processed_dates(ledger, settings.expected_tables)
@@ -258,25 +357,54 @@ def run_date(
     try:
         files = landing_to_silver(spark, layout, settings, date)
         steps.append("landing_to_silver")
-        tables = sorted({row.table_name for row in files.select("table_name").distinct().collect()})
+        readable = files.groupBy("table_name").agg(F.bool_and("valid").alias("valid"))
+        tables = {row.table_name: row.valid for row in readable.orderBy("table_name").collect()}
+        if not tables:
+            return NO_DATA
         for table in tables:
             silver_to_gold(spark, layout, table, date, files)
         steps.append("silver_to_gold")
-        for table in tables:
-            gold_to_target(spark, layout, settings, table, date)
-            entry = incremental.ledger_entry(spark, date, "success", table)
+        outcomes: dict[str, str] = {}
+        for table, valid in tables.items():
+            number = gold_to_target(spark, layout, settings, table, date)
+            outcomes[table] = "failed" if not valid else "no_data" if number is None else "success"
+            entry = incremental.ledger_entry(spark, date, outcomes[table], table)
             layers.append_log(entry, layout.logs, "ledger")
         steps.append("gold_to_target")
-    except Exception:
-        entry = incremental.ledger_entry(spark, date, "failed")
-        layers.append_log(entry, layout.logs, "ledger")
+        counted = {o for t, o in outcomes.items() if t in settings.expected_tables}
+        if "failed" in counted:
+            bad = ", ".join(t for t, o in outcomes.items() if o == "failed")
+            _record_failure(spark, layout, settings, date, started, steps, f"files not readable: {bad}")
+            return FAILED
+        if "success" not in counted:
+            return NO_DATA
+        status = _close_run(spark, layout, settings, date, started, steps)
+    except Exception as error:
+        _record_failure(spark, layout, settings, date, started, steps, f"{type(error).__name__}: {error}")
         raise
-    status = _close_run(spark, layout, settings, date, started, steps)
-    entry = incremental.ledger_entry(spark, date, "success")
-    layers.append_log(entry, layout.logs, "ledger")
+    layers.append_log(incremental.ledger_entry(spark, date, "success"), layout.logs, "ledger")
     return status
 
 
+def _record_failure(
+    spark: SparkSession,
+    layout: Layout,
+    settings: Settings,
+    date: str,
+    started: datetime,
+    steps: Sequence[str],
+    message: str,
+) -> None:
+    run = local_frame(
+        spark,
+        [(spark.sparkContext.applicationId, date, started, datetime.now(timezone.utc), list(steps), message)],
+        f"{RUN_COLUMNS}, error_message string",
+    )
+    layers.append_log(quality.failed_run_log(run, len(settings.expected_tables)), layout.logs, "run_logs")
+    layers.append_log(_stamped(quality.failure_alerts(run)), layout.logs, "data_quality_alerts")
+    layers.append_log(incremental.ledger_entry(spark, date, "failed"), layout.logs, "ledger")
+
+
 def _close_run(
     spark: SparkSession,
     layout: Layout,
@@ -296,8 +424,7 @@ def _close_run(
     run = local_frame(
         spark,
         [(spark.sparkContext.applicationId, date, started, datetime.now(timezone.utc), list(steps))],
-        "process_id string, date_folder string, execution_start timestamp, "
-        "execution_end timestamp, steps array<string>",
+        RUN_COLUMNS,
     )
     log = quality.run_log(run, gate, len(settings.expected_tables))
     layers.append_log(log, layout.logs, "run_logs")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerwise import testbed as tb
+from layerwise.config import Settings
 from layerwise.functions import casts, names
 from layerwise.operators import (
     dedup,
@@ -22,6 +23,7 @@ from layerwise.operators import (
     transform,
 )
 from layerwise.operators.rules import Checked, check_rules, parse_rules, rule_frame
+from layerwise.plans import daily
 from layerwise.session import scratch_path
 from layerwise.sources import landing, layers
 
@@ -111,6 +113,138 @@ def sniff_delimiter(spark, sf):
     return found.select("file", "valid", "delimiter", "n_columns", "sample_rows")
 
 
+def _read_all(spark: SparkSession, catalog: DataFrame, reject: str | None = None) -> DataFrame:
+    """The rows of all files of a landing catalog, one scan for each layout."""
+    layouts: dict[tuple, list[str]] = {}
+    for row in catalog.filter("valid").collect():
+        layouts.setdefault((row.delimiter, row.header, row.multi_line), []).append(row.path)
+    frames = [
+        landing.read_landing(spark, paths, sep, header, multi_line=many, reject_column=reject)
+        for (sep, header, many), paths in layouts.items()
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _delivered_events(spark: SparkSession, sf: str) -> str:
+    """Every event as CSV, a table and a delimiter for each type."""
+    folder = scratch_path(spark, "landing")
+    events = tb.noted_events(spark, sf).drop("filedate")
+    for kind, sep in tb.DELIMITERS.items():
+        tb.deliver(events.filter(F.col("event_type") == kind), folder, kind, "20240131", sep=sep)
+    return folder
+
+
+@query
+def landing_roundtrip(spark, sf):
+    """All events through CSV files of several delimiters, with quoted delimiters and line ends."""
+    folder = _delivered_events(spark, sf)
+    back = _read_all(spark, landing.landing_catalog(spark, folder, tb.EVENT_TYPES))
+    return back.select(
+        F.col("event_id").cast("bigint").alias("event_id"),
+        F.col("user_id").cast("bigint").alias("user_id"),
+        "event_type",
+        "note",
+    )
+
+
+@query
+def landing_rejects(spark, sf):
+    """Records with a field too many or too few are told from those that fit."""
+    folder = scratch_path(spark, "landing")
+    event_id = F.col("event_id")
+    line = F.concat_ws(",", event_id.cast("string"), "event_type")
+    ragged = F.when(event_id % 10 == 0, F.concat(line, F.lit(",EXTRA"))).when(
+        event_id % 15 == 5, event_id.cast("string")
+    )
+    lines = tb.load(spark, sf, "events").select(F.coalesce(ragged, line).alias("event_id,event_type"))
+    tb.deliver(lines, folder, "Events", "20240131", sep="\x01", quote="")
+    read = _read_all(spark, landing.landing_catalog(spark, folder, ["Events"]), reject="reject")
+    fits = F.col("reject").isNull()
+    return read.groupBy(F.when(fits, F.col("event_type")).alias("event_type"), F.col("reject").alias("record")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.when(fits, F.col("event_id").try_cast("bigint"))).alias("id_sum"),
+    )
+
+
+@query
+def file_inventory(spark, sf):
+    """Lines of every delivered file, against the inventory of the folder."""
+    folder = scratch_path(spark, "landing")
+    events = tb.load(spark, sf, "events").select("event_id", "user_id")
+    tb.deliver(events, folder, "Events", "20240131")
+    files = landing.file_inventory(spark, folder, landing.csv_glob())
+    lines = landing.raw_lines(spark, [folder]).groupBy(F.col("src_file").alias("file_name"))
+    counted = files.join(lines.agg(F.count(F.lit(1)).alias("n_lines")), "file_name", "left")
+    return counted.agg(
+        F.sum(F.col("n_lines") - 1).alias("n_rows"),
+        F.count_if(F.col("file_size") == 0).alias("empty_files"),
+        F.sum("file_size").alias("n_bytes"),
+        F.sum(F.octet_length(F.lit("event_id,user_id")) + 1).alias("header_bytes"),
+    ).select("n_rows", "empty_files", (F.col("n_bytes") - F.col("header_bytes")).alias("data_bytes"))
+
+
+@query
+def raw_copy(spark, sf):
+    """The raw copy holds the landing lines of each table."""
+    folder = _delivered_events(spark, sf)
+    root = scratch_path(spark, "raw")
+    parsed = names.parse_source_name(F.col("src_file"))
+    lines = landing.raw_lines(spark, [folder]).withColumns(
+        {layers.PART_DATE: parsed["filedate"], "brand_slug": names.slugify(parsed["brand"])}
+    )
+    layers.write_raw(lines, root)
+    back = spark.read.text(root).filter("NOT startswith(value, 'event_id')")
+    table = names.parse_source_name(F.col("src_file"))["table"]
+    return back.groupBy(table.alias("table_name")).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(F.octet_length("value")).alias("n_bytes")
+    )
+
+
+@query
+def redelivery(spark, sf):
+    """Files delivered twice, then one of them without rows: silver holds the last state."""
+    root = scratch_path(spark, "flow")
+    layout = daily.Layout(
+        *[f"{root}/{part}" for part in ("landing", "raw", "silver", "gold", "logs")], {}, {}, {}
+    )
+    settings = Settings(expected_tables=("Events", "Users"))
+    events = tb.load(spark, sf, "events").select("event_id", "user_id")
+    for share in (events, events.filter("event_id % 2 = 0")):
+        tb.deliver(share.coalesce(1), layout.landing, "Events", "20240131")
+        tb.deliver(share.coalesce(1), layout.landing, "Users", "20240131")
+        daily.landing_to_silver(spark, layout, settings, "20240131", copy_raw=False)
+    tb.deliver(events.filter("false").coalesce(1), layout.landing, "Users", "20240131")
+    daily.landing_to_silver(spark, layout, settings, "20240131", copy_raw=False)
+    back = [layers.read_layer(spark, layout.silver, t, "20240131") for t in settings.expected_tables]
+    counts = [
+        frame.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("event_id").cast("bigint")).alias("id_sum"))
+        for frame in back
+        if frame is not None
+    ]
+    return reduce(DataFrame.unionByName, counts).withColumn("n_tables", F.lit(len(counts)).cast("bigint"))
+
+
+@query
+def failed_runs(spark, sf):
+    """Run-log and alert rows of the ledger's failed dates."""
+    failed = incremental.ledger_latest(tb.event_ledger(spark, sf)).filter("status = 'failed'")
+    start = F.to_timestamp("filedate", "yyyyMMdd")
+    runs = failed.select(
+        F.concat(F.lit("run-"), F.col("filedate")).alias("process_id"),
+        F.col("filedate").alias("date_folder"),
+        start.alias("execution_start"),
+        (start + F.expr("INTERVAL 90 SECONDS")).alias("execution_end"),
+        F.array(F.lit("landing_to_silver")).alias("steps"),
+        F.concat(F.lit("entry "), F.col("last_processed").cast("string")).alias("error_message"),
+    )
+    log = quality.failed_run_log(runs, len(tb.EVENT_TYPES))
+    alerts = quality.failure_alerts(runs).select("date_folder", "alert_type", "details")
+    return log.join(alerts, "date_folder").select(
+        "process_id", "date_folder", "duration_seconds", "status", "tables_error", "error_message",
+        "alert_type", "details",
+    )
+
+
 @query
 def extract_date_token(spark, sf):
     df = tb.dirty_events(spark, sf)
@@ -646,6 +780,59 @@ def config_aggregate(spark, sf):
     )
 
 
+@query
+def config_aggregate_unusable(spark, sf):
+    """Aggregations that cannot be: the reason, with the rows left as they are."""
+    df = tb.dirty_events(spark, sf)
+    cases = {
+        "absent key": (["no_such"], {"ex_pause": "sum"}),
+        "absent column": (["brand"], {"no_such": "sum"}),
+        "unknown name": (["brand"], {"ex_pause": "mode"}),
+        "mixed text": (["brand"], {"user_ref": ["sum", "nunique"]}),
+    }
+    frames = []
+    for case, (keys, aggregates) in cases.items():
+        try:
+            transform.config_aggregate(df, keys, aggregates)
+            error = ""
+        except ValueError as found:
+            error = str(found)
+        frames.append(
+            df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+                F.lit(case).alias("case"), F.lit(error != "").alias("failed"), "n_rows"
+            )
+        )
+    text = transform.config_aggregate(df.withColumn("one", F.lit(1)), ["one"], {"user_ref": "sum"})
+    frames.append(
+        text.select(
+            F.lit("text sum").alias("case"), F.lit(False).alias("failed"), F.col("user_ref").cast("bigint").alias("n_rows")
+        )
+    )
+    return reduce(DataFrame.unionByName, frames)
+
+
+@query
+def configured_gold(spark, sf):
+    """Silver to gold by configuration: filter, group, a partition column more, read back."""
+    root = scratch_path(spark, "flow")
+    layout = daily.Layout(
+        *[f"{root}/{part}" for part in ("landing", "raw", "silver", "gold", "logs")], {}, {}, {}
+    )
+    silver = tb.dirty_events(spark, sf).drop("filedate").withColumn(layers.PART_DATE, F.lit("20240131"))
+    layers.write_partitioned(silver, f"{layout.silver}/Events", [layers.PART_DATE])
+    config = {
+        "filter_conditions": "asset_duration > 10",
+        "key_columns": ["kind", "brand"],
+        "aggregate_columns": {"ex_pause": "sum", "event_id": ["count", "max"]},
+        "partition_columns": ["kind"],
+    }
+    daily.silver_to_gold_configured(spark, layout, "Events", "20240131", config)
+    gold = layers.read_layer(spark, layout.gold, "Events", "20240131")
+    return gold.filter("kind IS NOT NULL").select(
+        "kind", "brand", "ex_pause", "event_id_count", "event_id_max", "extraction_date"
+    )
+
+
 @query
 def config_aggregate_nulls(spark, sf):
     """NULL keys are dropped and NULL values skipped."""

@@ -38,6 +38,8 @@ NA_TEXTS = (
     "nan",
     "null",
 )
+# Separator of files with one column: a character that no text line holds.
+ONE_COLUMN = "\x01"
 # Position of a row in its source: a total order that survives any shuffle.
 POSITION = ("src_file", "src_block", "src_row")
 
@@ -89,7 +91,8 @@ def sniff(samples: DataFrame, delimiters: Sequence[str] = DELIMITERS) -> DataFra
 
     The delimiter is the candidate found equally often in most sample lines, outside of
     quotes; ties go to the more frequent, then to the earlier candidate. A file without any
-    candidate in its first line is not valid.
+    candidate in its first line has one column and no delimiter. A file that begins with a blank
+    line, or has no line, is not valid.
     """
     candidates = F.array(
         *[
@@ -131,15 +134,28 @@ def sniff(samples: DataFrame, delimiters: Sequence[str] = DELIMITERS) -> DataFra
     )
     return scored.select(
         *samples.columns,
-        F.col("__best").isNotNull().alias("valid"),
+        _is_text(F.get("sample", F.lit(0))).alias("valid"),
         F.col("__best.delimiter").alias("delimiter"),
-        (F.col("__best.n") + 1).cast("bigint").alias("n_columns"),
+        F.when(_is_text(F.get("sample", F.lit(0))), F.coalesce(F.col("__best.n"), F.lit(0)) + 1)
+        .cast("bigint")
+        .alias("n_columns"),
         F.greatest(F.size("sample") - 1, F.lit(0)).cast("bigint").alias("sample_rows"),
         F.coalesce(_header_votes() > 0, F.lit(False)).alias("has_header"),
         F.get("sample", F.lit(0)).alias("header"),
     )
 
 
+def _is_text(line: Column) -> Column:
+    return F.coalesce(F.trim(line) != "", F.lit(False))
+
+
+def open_quotes(lines: DataFrame, file: str) -> DataFrame:
+    """(file, multi_line): whether a line of the file leaves a quote open, so that a record may
+    go on in the next one."""
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    return lines.groupBy(file).agg(F.bool_or(quotes % 2 == 1).alias("multi_line"))
+
+
 def _header_votes() -> Column:
     """Columns whose first line looks unlike the lines below, less those where it looks alike.
 
@@ -175,8 +191,9 @@ def landing_catalog(
     """One row per landing file to process: name parts, CSV format and whether it is expected.
 
     Names that do not parse are left out, and of files for the same brand, table and date only
-    the last delivered is kept. A date narrows the listing itself. Sniffing reads the landing
-    files once, as lines, and shuffles five lines per file.
+    the last delivered is kept. A date narrows the listing itself. ``multi_line`` tells the files
+    whose records may span lines. Sniffing reads the landing files as lines; five lines and one
+    flag per file and task are shuffled.
     """
     glob = csv_glob(date)
     files = file_inventory(spark, path, glob).withColumn("__name", parse_source_name(F.col("file_name")))
@@ -202,21 +219,22 @@ def landing_catalog(
             F.col("_metadata.file_block_start").alias("__block"),
             F.monotonically_increasing_id().alias("__line_id"),
         )
-        .filter("__block = 0")
     )
-    formats = sniff(first_lines(lines, "file_path", ["__line_id"])).drop("sample")
+    formats = sniff(first_lines(lines.filter("__block = 0"), "file_path", ["__line_id"])).drop("sample")
     return (
         files.join(formats, "file_path", "left")
+        .join(open_quotes(lines, "file_path"), "file_path", "left")
         .withColumn("valid", F.coalesce("valid", F.lit(False)))
+        .withColumn("multi_line", F.coalesce("multi_line", F.lit(False)))
         .withColumn("brand_slug", slugify(F.col("brand")))
         .withColumn("expected", F.col("table_name").isin(list(expected)))
     )
 
 
-def header_names(header: str, delimiter: str) -> list[str]:
+def header_names(header: str, delimiter: str | None) -> list[str]:
     """Column names of a header line; a name repeated in any case gets a number."""
     names: list[str] = []
-    for position, name in enumerate(next(csv.reader([header], delimiter=delimiter))):
+    for position, name in enumerate(next(csv.reader([header], delimiter=delimiter or ONE_COLUMN))):
         base = name.strip().lstrip("\ufeff") or f"Unnamed: {position}"
         unique, n = base, 0
         while unique.lower() in {known.lower() for known in names}:
@@ -229,20 +247,24 @@ def header_names(header: str, delimiter: str) -> list[str]:
 def read_landing(
     spark: SparkSession,
     paths: Sequence[str],
-    delimiter: str,
+    delimiter: str | None,
     header: str | None = None,
     infer: bool = False,
     multi_line: bool = False,
     na_texts: Sequence[str] = NA_TEXTS,
+    reject_column: str | None = None,
 ) -> DataFrame:
     """Rows of CSV files that share a delimiter and header, with source and position columns.
 
     All columns are text unless ``infer`` asks for a second pass to find types. Large files
-    are read in splits, except with ``multi_line``.
+    are read in splits, except with ``multi_line``; without a delimiter a line is one field.
+    Records with more or fewer fields than the header carry their text in ``reject_column``, and
+    stop the job where none is named.
     """
     reader = (
         spark.read.option("header", True)
-        .option("sep", delimiter)
+        .option("sep", delimiter or ONE_COLUMN)
+        .option("columnPruning", False)  # a record's fields are counted whatever is read of it
         .option("escape", '"')
         .option("multiLine", multi_line)
         .option("inferSchema", infer)
@@ -251,12 +273,17 @@ def read_landing(
         if header is None:
             raise ValueError("reading without type inference needs the header line")
         names = header_names(header, delimiter)
+        if reject_column:
+            names.append(reject_column)
+            reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", reject_column)
+        else:
+            reader = reader.option("mode", "FAILFAST")
         reader = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
     frame = reader.csv(list(paths))
     columns = []
     for item in frame.schema.fields:
         value = quoted(item.name)
-        if isinstance(item.dataType, T.StringType):
+        if isinstance(item.dataType, T.StringType) and item.name != reject_column:
             value = F.when(~value.isin(list(na_texts)), value)
         columns.append(value.alias(item.name))
     return frame.select(

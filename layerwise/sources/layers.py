@@ -73,15 +73,18 @@ def table_sample(
     return df.orderBy(*key).limit(limit).select(*columns)
 
 
-def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str]) -> int:
+def write_partitioned(
+    df: DataFrame, path: str, partitions: Sequence[str], rebalance: bool = True
+) -> int:
     """Overwrite the partitions the frame has rows for and return the rows written.
 
     Rows are first rebalanced by the partition columns: small partitions become one file,
-    and a partition with a large share of the rows is split over many tasks.
+    and a partition with a large share of the rows is split over many tasks. Where a task's rows
+    are of few partitions anyway, as of a file scan, no shuffle is needed.
     """
     written = Observation()
     # counted above the shuffle, where the count stays in the plan even of an empty frame
-    balanced = df.hint("rebalance", *[F.col(p) for p in partitions])
+    balanced = df.hint("rebalance", *[F.col(p) for p in partitions]) if rebalance else df
     counted = balanced.observe(written, F.count(F.lit(1)).alias("n"))
     (
         counted.write.mode("overwrite")
@@ -95,11 +98,11 @@ def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str]) -> in
 def write_raw(lines: DataFrame, root: str) -> None:
     """Raw copy of landing lines, partitioned by date, brand and file.
 
-    Lines are range-partitioned by file and position, so the parts of a file read in name
-    order are the file itself, and large files are spread over tasks.
+    A scan task holds whole files or splits of one in order, so its lines are written without a
+    shuffle: the parts of a file read in name order are the file itself.
     """
     order = [*FILE_PARTITIONS, "src_block", "src_row"]
-    ordered = lines.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered = lines.sortWithinPartitions(*order)
     (
         ordered.select("value", *FILE_PARTITIONS)
         .write.mode("overwrite")
@@ -136,6 +139,30 @@ def load_table(df: DataFrame, table: str, date: str) -> int:
     return written.get["n"]
 
 
+def drop_partition(spark: SparkSession, path: str, values: Sequence[tuple[str, str]]) -> bool:
+    """Remove one partition's folder of a dataset, if it is there."""
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    folder = "/".join([path, *[f"{key}={names.escapePathName(value)}" for key, value in values]])
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(files.delete(target, True))
+
+
+def clear_table(spark: SparkSession, table: str, date: str) -> None:
+    """Leave a target table's partition of a date without rows, if there are any."""
+    if not spark.catalog.tableExists(table) or TARGET_DATE not in spark.table(table).columns:
+        return
+    old = spark.table(table).filter(F.col(TARGET_DATE) == date)
+    if old.isEmpty():
+        return
+    fields = [f for f in spark.table(table).schema.fields if f.name != TARGET_DATE]
+    nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in fields)
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION ({TARGET_DATE} = '{date}') "
+        f"SELECT {nothing} WHERE false"
+    )
+
+
 def append_log(df: DataFrame, root: str, name: str) -> None:
     """Append metric rows to a monitoring dataset."""
     df.write.mode("append").parquet(f"{root}/{name}")

@@ -114,6 +114,44 @@ def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+DELIMITERS = {"signup": ",", "purchase": ";", "view": "\t", "click": "|", "error": ":"}
+
+
+def noted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event with a text that may hold a delimiter, a line end or quotes."""
+    event_id = F.col("event_id")
+    mark = F.coalesce(*[F.when(F.col("event_type") == kind, sep) for kind, sep in DELIMITERS.items()])
+    note = (
+        F.when(event_id % 7 == 0, F.concat(F.lit("a"), mark, F.lit("b")))
+        .when(event_id % 11 == 0, F.lit("two\nlines"))
+        .when(event_id % 13 == 0, F.lit('a "word" in quotes'))
+        .otherwise(F.concat(F.lit("n"), event_id.cast("string")))
+    )
+    day = F.replace(F.col("ts").cast("date").cast("string"), F.lit("-"), F.lit(""))
+    return load(spark, sf_dir, "events").select(
+        event_id, "user_id", "event_type", note.alias("note"), day.alias("filedate")
+    )
+
+
+def deliver(df: DataFrame, landing: str, table: str, date: str, **options: object) -> list[str]:
+    """The frame as CSV files in a landing folder, one a task, named as deliveries are. A file
+    of the same name is replaced."""
+    spark = df.sparkSession
+    parts = f"{landing}-{table}-parts"
+    df.write.mode("overwrite").options(header=True, escape='"', **options).csv(parts)
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    files = paths(parts).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(paths(landing))
+    names = []
+    for status in files.listStatus(paths(parts)):
+        if status.getPath().getName().startswith("part-"):
+            names.append(f"Brand {len(names)}_{table}_{date}.csv")
+            place = paths(f"{landing}/{names[-1]}")
+            files.delete(place, False)
+            files.rename(status.getPath(), place)
+    return names
+
+
 def event_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event read as a ledger entry for its type on its day."""
     day = F.replace(F.col("ts").cast("date").cast("string"), F.lit("-"), F.lit(""))

@@ -15,6 +15,7 @@ from layerwise.plans.daily import (
     gold_to_target,
     landing_to_silver,
     run_date,
+    run_pending,
     silver_to_gold,
     silver_to_gold_configured,
 )
@@ -206,6 +207,10 @@ def test_failure_is_recorded(spark, layout, settings):
     ledger = layers.read_log(spark, layout.logs, "ledger")
     assert rows(ledger.filter("table_name IS NULL").select("filedate", "status")) == [("20250416", "failed")]
     assert incremental.processed_dates(ledger).isEmpty()
+    failed = layers.read_log(spark, layout.logs, "run_logs").first()
+    assert failed.status == "ERROR" and "colour" in failed.error_message
+    alert = layers.read_log(spark, layout.logs, "data_quality_alerts").first()
+    assert alert.alert_type == "CRITICAL" and json.loads(alert.details)["severity"] == "CRITICAL"
     assert run_date(spark, layout, settings, "20250416") == "WARNING"
     ledger = layers.read_log(spark, layout.logs, "ledger")
     assert rows(incremental.processed_dates(ledger)) == [("20250416",)]
@@ -257,9 +262,94 @@ def test_large_file_is_read_in_splits_and_stays_in_order(spark, tmp_path):
     assert "".join(p.read_text() for p in parts) == path.read_text()
 
 
-def test_a_date_without_files(spark, layout, settings):
-    assert run_date(spark, layout, settings, "20990101") == "SUCCESS"
+def put(layout, name, text):
+    from pathlib import Path
+
+    (Path(layout.landing) / name).write_text(text, encoding="utf-8")
+
+
+def test_a_date_without_files_stays_open(spark, layout, settings):
+    assert run_date(spark, layout, settings, "20990101") == "NO_DATA"
     assert layers.read_log(spark, layout.logs, "raw_logs") is None
+    assert layers.read_log(spark, layout.logs, "ledger") is None
+    put(layout, "North TV_Device_20990101.csv", "UserId,Serial\n1,A\n")  # the late file
+    assert run_date(spark, layout, settings, "20990101") == "SUCCESS"
+    assert spark.table("T_DEVICE").count() == 1
+
+
+def test_a_file_that_cannot_be_read_fails_its_table(spark, layout, settings):
+    put(layout, "North TV_Device_20250501.csv", "UserId,Serial\n1,A\n")
+    put(layout, "North TV_Playback_20250501.csv", "")
+    assert run_date(spark, layout, settings, "20250501") == "FAILED"
+    ledger = layers.read_log(spark, layout.logs, "ledger")
+    assert rows(ledger.select("table_name", "status")) == [
+        ("Device", "success"), ("Playback", "failed"), (None, "failed"),
+    ]
+    assert incremental.processed_dates(ledger, settings.expected_tables).isEmpty()
+    assert rows(layers.read_log(spark, layout.logs, "file_rejects").select("file_name")) == [
+        ("North TV_Playback_20250501.csv",)
+    ]
+    alert = layers.read_log(spark, layout.logs, "data_quality_alerts").first()
+    assert (alert.alert_type, alert.message) == ("CRITICAL", "files not readable: Playback")
+    assert layers.read_log(spark, layout.logs, "run_logs").first().status == "ERROR"
+
+
+def test_records_that_do_not_fit_are_kept_as_rejects(spark, layout, settings):
+    put(
+        layout,
+        "North TV_Device_20250502.csv",
+        'UserId,Serial\n1,A\n2,B,EXTRA\n3\n4,"D\nd"\n5,E\n',
+    )
+    put(layout, "Arts+ West_Smartcard_20250502.csv", "SmartcardId\nc1\nc2\n")
+    run_date(spark, layout, settings, "20250502")
+    silver = layers.read_layer(spark, layout.silver, "Device", "20250502")
+    assert rows(silver.select("UserId", "Serial")) == [("1", "A"), ("4", "D\nd"), ("5", "E")]
+    rejects = spark.read.parquet(f"{layout.logs}/landing_rejects/Device")
+    assert rows(rejects.select("record", "src_file")) == [
+        ("2,B,EXTRA", "North TV_Device_20250502.csv"), ("3", "North TV_Device_20250502.csv"),
+    ]
+    cards = layers.read_layer(spark, layout.silver, "Smartcard", "20250502")
+    assert rows(cards.select("SmartcardId")) == [("c1",), ("c2",)]
+
+
+def test_a_file_delivered_again_without_rows_clears_its_rows(spark, layout, settings):
+    put(layout, "North TV_Device_20250503.csv", "UserId,Serial\n1,A\n2,B\n")
+    put(layout, "Arts+ West_Device_20250503.csv", "UserId,Serial\n3,C\n")
+    run_date(spark, layout, settings, "20250503")
+    assert spark.table("T_DEVICE").count() == 3
+    put(layout, "North TV_Device_20250503.csv", "UserId,Serial\n")
+    run_date(spark, layout, settings, "20250503", force=True)
+    assert rows(spark.table("T_DEVICE").select("USERID")) == [("3",)]
+    put(layout, "Arts+ West_Device_20250503.csv", "UserId,Serial\n")
+    assert run_date(spark, layout, settings, "20250503", force=True) == "NO_DATA"
+    assert spark.table("T_DEVICE").isEmpty()
+    assert layers.read_layer(spark, layout.gold, "Device", "20250503") is None
+
+
+def test_rows_the_target_turns_away(spark, layout, settings):
+    spark.sql("CREATE TABLE T_PLAYBACK (PLAYSESSIONID STRING, `GROUP` INT, BRAND STRING) USING parquet")
+    put(layout, "North TV_Playback_20250504.csv", "PlaySessionID,Group\ns1,1\ns2,x\ns3,3\n")
+    run_date(spark, layout, settings, "20250504")
+    assert rows(spark.table("T_PLAYBACK").select("PLAYSESSIONID", "GROUP")) == [("s1", 1), ("s3", 3)]
+    record = layers.read_log(spark, layout.logs, "gold_logs").first()
+    assert json.loads(record.loading_details) == {"rows_inserted": 2, "rows_updated": 0, "rows_rejected": 1}
+    rejected = spark.read.parquet(f"{layout.logs}/load_rejects/Playback")
+    assert rows(rejected.select("PLAYSESSIONID", "reject_columns")) == [("s2", "GROUP")]
+
+
+def test_pending_dates_run_in_order(spark, layout, settings):
+    assert run_pending(spark, layout, settings, "20250417") == {"20250416": "WARNING", "20250417": "SUCCESS"}
+    assert run_pending(spark, layout, settings, "20250417") == {}
+    broken = Layout(**{**layout.__dict__, "schemas": {"Device": {"columns": {"Model": "colour"}}}})
+    assert run_pending(spark, broken, settings, "20250417", force=True) == {"20250416": "ERROR", "20250417": "ERROR"}
+
+
+def test_writes_of_landing_files_need_no_shuffle(spark, layout, settings, tmp_path):
+    path = f"{layout.landing}/North TV_Device_20250417.csv"
+    lines = land.raw_lines(spark, [path]).withColumns({"part_date": F.lit("x"), "brand_slug": F.lit("y")})
+    order = [*layers.FILE_PARTITIONS, "src_block", "src_row"]
+    plan = lines.sortWithinPartitions(*order)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
 
 
 def test_configuration_files(spark, tmp_path):
