@@ -161,21 +161,36 @@ def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return left.join(renamed, condition, how).drop(*[f"__r_{key}" for key in keys])
 
 
+def _sent_if_few(groups: DataFrame, most: int) -> DataFrame:
+    """Rows of an aggregate, computed once and marked for broadcast, if there are few."""
+    found = groups.limit(most + 1).toArrow() if most else None
+    if found is None or found.num_rows > most:
+        return groups
+    return F.broadcast(groups.sparkSession.createDataFrame(found, groups.schema))
+
+
 def exact_median(
-    df: DataFrame, keys: Sequence[str], column: str, alias: str, accuracy: int = 10_000
+    df: DataFrame,
+    keys: Sequence[str],
+    column: str,
+    alias: str,
+    accuracy: int = 10_000,
+    broadcast_groups: int = 100_000,
 ) -> DataFrame:
     """Exact median per key without gathering a group's values in one place.
 
     A mergeable quantile sketch brackets the middle, then counts per value inside the bracket
     (everything below it is one count) give the exact middle ranks. The bracket holds about
     ``4 / accuracy`` of a group's rows, so even a group with a third of all rows stays small.
-    A bracket that misses the middle raises instead of giving a wrong value.
+    A bracket that misses the middle raises instead of giving a wrong value. Brackets of up to
+    ``broadcast_groups`` groups are sent to the values, so that only counts are shuffled; more
+    are joined.
     """
     values = df.select(*keys, _present(df, column).alias("__v")).filter("__v IS NOT NULL")
     margin = 2.0 / accuracy
     sketch = F.percentile_approx("__v", [0.5 - margin, 0.5 + margin], accuracy)
     brackets = values.groupBy(*keys).agg(sketch.alias("__p"), F.count(F.lit(1)).alias("__total"))
-    placed = _join_on(values, brackets, keys, "inner")
+    placed = _join_on(values, _sent_if_few(brackets, broadcast_groups), keys, "inner")
     below = F.col("__v") < F.col("__p")[0]
     inside = ~below & (F.col("__v") <= F.col("__p")[1])
     counts = (

@@ -144,6 +144,6 @@ def test_hot_key_is_split_in_an_update(spark, shuffle_joins):
 
 def test_hot_key_is_split_in_a_median(spark, shuffle_joins):
     values = hot_frame(spark).select("k", F.col("id").alias("v"), "pad")
-    out = transform.exact_median(values, ["k"], "v", "m")
+    out = transform.exact_median(values, ["k"], "v", "m", broadcast_groups=0)
     assert "skew=true" in final_plan(out)
     assert out.filter("k = 'hot'").first().m == 29_998.5

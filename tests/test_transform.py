@@ -116,3 +116,35 @@ def test_median_of_a_hot_group(spark, accuracy):
 def test_non_empty(spark):
     df = spark.createDataFrame([("a",), ("",), (None,)], "s string")
     assert rows(transform.non_empty(df, "s")) == [("a",)]
+
+
+def test_median_shuffles_counts_only(spark, tmp_path):
+    """No exchange lies between the scan of the values and the first aggregate above the join."""
+    spark.range(1000).selectExpr("id % 7 k", "cast(id * 37 % 101 as double) v").write.parquet(str(tmp_path / "v"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = transform.exact_median(spark.read.parquet(str(tmp_path / "v")), ["k"], "v", "m")
+        plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
+        many = transform.exact_median(
+            spark.read.parquet(str(tmp_path / "v")), ["k"], "v", "m", broadcast_groups=0
+        )
+        assert rows(out) == rows(many)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    join = next(i for i, line in enumerate(plan) if "BroadcastHashJoin" in line)
+    scan = next(i for i, line in enumerate(plan) if "FileScan" in line)
+    assert not [line for line in plan[join:scan] if "Exchange hashpartitioning" in line]
+
+
+def test_aggregates_that_cannot_be(spark):
+    df = spark.createDataFrame([("a", "1", None), ("a", "x", None), ("b", None, None)], "k string, t string, d date")
+    for keys, aggregates, message in (
+        (["no"], {"t": "count"}, "no column no"),
+        (["k"], {"no": "sum"}, "no column no"),
+        (["k"], {"d": "sum"}, "d is date"),
+        (["k"], {"t": ["sum", "nunique"]}, "t is text"),
+    ):
+        with pytest.raises(ValueError, match=message):
+            transform.config_aggregate(df, keys, aggregates)
+    assert rows(transform.config_aggregate(df, ["k"], {"t": "sum"})) == [("a", 1.0), ("b", None)]
