@@ -87,9 +87,9 @@ _DQ = (
     + _gold(
         "date_folder, table_name, brand",
         "user_id",
-        {k: _E[k] for k in ("invalid_dates", "invalid_duration")},
-        2,
-        0,
+        _E,
+        7,
+        1,
         "s",
     )
     + """, q AS (
@@ -107,12 +107,12 @@ SELECT date_folder, CAST(sum(total_records) AS BIGINT) AS total_records,
  CAST(sum(error_records) AS DOUBLE) / CAST(sum(total_records) AS DOUBLE) * 100 AS error_percentage
 FROM q GROUP BY date_folder),
 w AS (
-SELECT *, CASE WHEN error_percentage > 20 THEN 'ERROR' WHEN error_percentage > 17 THEN 'WARNING'
+SELECT *, CASE WHEN error_percentage > 51 THEN 'ERROR' WHEN error_percentage > 49.5 THEN 'WARNING'
   ELSE 'OK' END AS status,
- CASE WHEN error_percentage > 20 THEN 'DATA QUALITY ERROR: Overall error rate is '
-      || printf('%.2f', error_percentage) || '%, exceeding threshold of 20.0%'
-  WHEN error_percentage > 17 THEN 'DATA QUALITY WARNING: Overall error rate is '
-      || printf('%.2f', error_percentage) || '%, exceeding threshold of 17.0%'
+ CASE WHEN error_percentage > 51 THEN 'DATA QUALITY ERROR: Overall error rate is '
+      || printf('%.2f', error_percentage) || '%, exceeding threshold of 51.0%'
+  WHEN error_percentage > 49.5 THEN 'DATA QUALITY WARNING: Overall error rate is '
+      || printf('%.2f', error_percentage) || '%, exceeding threshold of 49.5%'
   ELSE 'Data quality acceptable: Error rate ' || printf('%.2f', error_percentage) || '%' END AS message
 FROM t)"""
 )
@@ -256,7 +256,8 @@ WHERE l_quantity > 30 AND (l_returnflag = 'R' OR l_linestatus = 'O')""",
     "config_filter_unusable": """
 SELECT count(*) AS n_rows, 'UNRESOLVED_COLUMN.WITH_SUGGESTION' AS filter_error FROM lineitem""",
     "truncate_text": """
-SELECT doc_id, CAST(least(length(text), 4000) AS BIGINT) AS n_kept,
+SELECT doc_id, CAST(least(length(text), 4000) AS BIGINT) AS n_kept, CAST(length(text) AS BIGINT) AS n_whole,
+ length(text) > 4000 AS was_cut,
  md5(CASE WHEN length(text) > 4000 THEN substr(text, 1, 3997) || '...' ELSE text END) AS digest
 FROM documents""",
     "harmonized_union": """
