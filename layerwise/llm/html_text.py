@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -61,12 +62,16 @@ _CLOSES = {
     "option": frozenset({"option"}),
 }
 _HINTS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|captcha|comments?|comment-?list|consent|cookies?|copyright|disqus"
+    r"(?:^|[\s_-])(?:ads?|adsbygoogle|advert\w*|banner|breadcrumbs?|captcha|comments?|comment-?list|consent|cookies?|copyright|disqus"
     r"|disclaimer|footer|gdpr|header|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|notices|pager|pagination"
     r"|popup|popups?|promos?|promoted|recommend\w*|related|replies|reply|respond|rss|search|share|sharing|sidebar|sidenav|signup|skip"
     r"|social|sponsors?|sponsored|subscribe|subscription|tags|teasers?|toolbar|topbar|widgets?)(?=$|[\s_-])",
     re.I,
 )
+#: What a page has or lacks, not what an element is.
+_LAYOUT = re.compile(r"\b(?:has|with|without|no)[-_][\w-]+", re.I)
+#: What an article element of its own may be besides the page's article.
+_REPLY = re.compile(r"(?:^|[\s_-])(?:comments?|replies|reply|ads?|advert\w*|promo|teasers?|related)(?=$|[\s_-])", re.I)
 _ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -100,14 +105,17 @@ def _attributes(source: str) -> dict[str, str]:
 def _is_boilerplate(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
     if tag in _BOILERPLATE:
         return not (tag == "header" and in_article)
-    if not attributes or tag in ("html", "body", "article", "main"):
+    if not attributes or tag in ("html", "body", "main"):
         return False
     if attributes.get("role", "").lower() in _ROLES or attributes.get("aria-hidden", "").lower() == "true":
         return True
     if "hidden" in attributes or re.search(r"display\s*:\s*none", attributes.get("style", ""), re.I):
         return True
     named = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    return named != " " and bool(_HINTS.search(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", named)))
+    if named == " ":
+        return False
+    named = _LAYOUT.sub("", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", named))
+    return bool((_REPLY if tag == "article" else _HINTS).search(named))
 
 
 def blocks(page: str) -> list[Block]:
@@ -115,10 +123,18 @@ def blocks(page: str) -> list[Block]:
     element of its name, if there is one; what is open at the end is closed there."""
     out: list[Block] = []
     stack: list[tuple[str, bool, bool]] = [("", False, False)]  # tag, in boilerplate, in article
+    opened: Counter = Counter()  # elements on the stack, by tag
     current = Block()
     links = 0
     at = 0
 
+    def close(depth: int) -> None:
+        nonlocal links
+        for tag, *_ in stack[depth:]:
+            opened[tag] -= 1
+            links -= tag == "a"
+        del stack[depth:]
+
     def flush(tag: str) -> None:
         nonlocal current
         text = " ".join(html.unescape("".join(current.parts)).split())
@@ -147,15 +163,14 @@ def blocks(page: str) -> list[Block]:
             continue
         tag = match[2].lower()
         if match[1]:
-            if tag == "p" and not any(s[0] == "p" for s in stack):
-                flush("")
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
-            if depth:
-                links -= sum(s[0] == "a" for s in stack[depth:])
+            if opened[tag] > 0:
+                depth = next(i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag)
                 block = any(s[0] in _BLOCKS for s in stack[depth:])
-                del stack[depth:]
+                close(depth)
                 if block:
                     flush(stack[-1][0])
+            elif tag == "p":
+                flush("")
             continue
         if tag in _SKIPPED:
             if tag in _RAW_END:
@@ -177,20 +192,17 @@ def blocks(page: str) -> list[Block]:
         if tag == "body" or tag == "html":
             flush("")
             continue
-        while len(stack) > 1:
-            # inline elements left open inside a paragraph end with it
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] in _CLOSES and tag in _CLOSES[stack[i][0]]), 0)
-            between = stack[depth + 1 :] if depth else []
-            if not depth or any(s[0] in _BLOCKS and s[0] not in _CLOSES for s in between) or any(
-                s[0] in ("ul", "ol", "dl", "table") for s in between
-            ):
-                break
-            links -= sum(s[0] == "a" for s in stack[depth:])
-            del stack[depth:]
+        while depth := _closed_by(tag, stack):
+            close(depth)  # and what was left open inside of it
         _, boilerplate, article = stack[-1]
         own = _is_boilerplate(tag, _attributes(match[3]), article)
-        if not match[3].rstrip().endswith("/"):
+        if tag == "main":
+            boilerplate = False
+        # Other elements tell nothing; unclosed ones in any number are not to be looked through.
+        tells = tag in _BLOCKS or tag == "a" or own or boilerplate
+        if tells and not match[3].rstrip().endswith("/"):
             stack.append((tag, boilerplate or own, article or tag in ("article", "main")))
+            opened[tag] += 1
             links += tag == "a"
         if tag in _BLOCKS:
             flush(tag)
@@ -200,6 +212,18 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
+def _closed_by(tag: str, stack: list[tuple[str, bool, bool]]) -> int:
+    """Depth of the open element that a new one ends, not beyond a block that holds it; or 0."""
+    for depth in range(len(stack) - 1, 0, -1):
+        name = stack[depth][0]
+        if name in _CLOSES:
+            if tag in _CLOSES[name]:
+                return depth
+        elif name in _BLOCKS:
+            return 0
+    return 0
+
+
 def _skip(page: str, at: int, tag: str) -> int:
     """Past the end of an element, nested ones of its name included."""
     edge = re.compile(rf"<(/?){tag}\b[^>]*>", re.I)

@@ -41,6 +41,13 @@ def test_what_is_not_article(outside):
         assert main_text(page(inside)) == text
 
 
+def test_wrappers_and_replies():
+    reply = f'<article class="comment"><p>{PROSE}</p></article>'
+    wrapped = f'<div class="page has-sidebar"><main class="with-banner"><article class="post"><p>{PROSE}</p></article>{reply}</main></div>'
+    assert main_text(page(wrapped)) == PROSE
+    assert main_text(page(f'<div class="banner"><main><p>{PROSE}</p></main></div>')) == PROSE
+
+
 def test_rules_without_an_article_element():
     body = f"<div><p>{PROSE}</p><p>Short one.</p><p>{PROSE}</p></div><ul><li><a href=1>One</a></li><li><a href=2>Two</a></li></ul>"
     assert main_text(page(body)) == f"{PROSE}\n\nShort one.\n\n{PROSE}"
@@ -69,6 +76,8 @@ def test_references_and_white_space():
         ("<article><table><tr><td>a<td>b</table></article>", "a\n\nb"),
         ("<article><pre>a\n  b</pre></article>", "a b"),
         ("<ARTICLE><P CLASS=x>upper</P></ARTICLE>", "upper"),
+        ("<article><p>" + "<b>x</i>" * 30_000 + "</article>", "x" * 30_000),
+        ("<article><p>a</p>" + "<div class=ad><span>no</span> no</div>" * 2 + "<p>b</p></article>", "a\n\nb"),
         ("<article>" + "<div>" * 3000 + "deep" + "</div>" * 3000 + "</article>", "deep"),
     ],
 )
