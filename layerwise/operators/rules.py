@@ -7,7 +7,7 @@ one pass. Only a uniqueness rule needs a shuffle of its own.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.errors import AnalysisException, ParseException
@@ -197,7 +197,7 @@ def check_rules(
 ) -> Checked:
     """Bind rules to a frame.
 
-    ``scope`` is put in front of a uniqueness rule's columns (a brand, a file). ``order`` is
+    Columns a rule names that the frame lacks make a skipped check of their own. ``scope`` is put in front of a uniqueness rule's columns (a brand, a file). ``order`` is
     the total order that tells a first row from its repeats. ``unique_keys`` are columns the
     frame is already unique by, so a uniqueness rule over them needs no work.
     """
@@ -209,6 +209,9 @@ def check_rules(
             checks.append(check)
         elif rule.kind != "uniqueness":
             checks.append(COMPILERS[rule.kind](df, rule))
+            absent = tuple(name for name in rule.columns if name not in columns)
+            if absent and checks[-1].skipped is None:  # the present columns are checked all the same
+                checks.append(Check(replace(rule, columns=absent), (), f"no column {', '.join(absent)}"))
         elif not set(rule.columns) <= set(columns):
             checks.append(Check(rule, (), f"no column {', '.join(rule.columns)}"))
         elif unique_keys and set(unique_keys) <= {*rule.columns, *scope}:

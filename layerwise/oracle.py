@@ -88,8 +88,8 @@ _DQ = (
         "date_folder, table_name, brand",
         "user_id",
         _E,
-        7,
-        1,
+        8,
+        2,
         "s",
     )
     + """, q AS (
@@ -387,6 +387,7 @@ UNION ALL SELECT brand, n_rows, 'date_validation', invalid_dates FROM c
 UNION ALL SELECT brand, n_rows, 'duration_validation', invalid_duration FROM c
 UNION ALL SELECT brand, n_rows, 'duration_consistency', inconsistent_duration FROM c
 UNION ALL SELECT brand, n_rows, 'kind_existence', missing_kind FROM c
+UNION ALL SELECT brand, n_rows, 'required_fields', NULL FROM c
 UNION ALL SELECT brand, n_rows, 'device_presence', NULL FROM c)
 SELECT brand, n_rows, rule_name,
  CASE WHEN n_bad IS NULL THEN 'SKIPPED' WHEN n_bad > 0 THEN 'FAILED' ELSE 'PASSED' END AS status, n_bad
@@ -441,10 +442,10 @@ SELECT brand, filedate, rows_total, rows_total - rows_ko AS rows_ok, rows_ko, co
  CASE WHEN rows_ko = 0 THEN '{"info":"No additional details"}' ELSE '{' || detail || '}' END AS details
 FROM a""",
     "gold_log": f"WITH {_DIRTY},"
-    + _gold("brand", "user_id, filedate", _E, 7, 1, "d")
+    + _gold("brand", "user_id, filedate", _E, 8, 2, "d")
     + f" SELECT *, coalesce({_CODE}, brand) AS brand_code FROM g",
     "gold_record": f"WITH {_DIRTY},"
-    + _gold("brand", "user_id, filedate", _E, 7, 1, "d")
+    + _gold("brand", "user_id, filedate", _E, 8, 2, "d")
     + """ SELECT *, '' AS reseller, CAST(1 AS BIGINT) AS brands_aggregated,
  CAST(0 AS BIGINT) AS records_warning, records_after_agg AS rows_inserted,
  CAST(0 AS BIGINT) AS rows_updated, CAST(0 AS BIGINT) AS rows_rejected,

@@ -25,7 +25,7 @@ def df(spark):
 
 def bad_ids(df, body, **options):
     checked = check_rules(df, parse_rules({"T": body}, "T"), order=["id"], **options)
-    assert not checked.n_skipped
+    assert checked.active
     return [r.id for r in checked.df.filter(checked.any_bad).orderBy("id").collect()]
 
 
@@ -182,3 +182,15 @@ def test_empty_groups(df):
     groups = df.sparkSession.createDataFrame([("A",), ("C",)], "brand string")
     found = report.add_empty_groups(log, groups, ["brand"])
     assert rows(found.select("brand", "rows_total", "status")) == [("A", 3, "KO"), ("B", 2, "KO"), ("C", 0, "OK")]
+
+
+def test_absent_columns_among_several_are_reported(df):
+    rule = {"t": {"required_fields": {"columns": [df.columns[0], "no_such"], "error_type": "missing"}}}
+    checked = check_rules(df, parse_rules(rule, "t"))
+    assert [c.skipped for c in checked.checks] == [None, "no column no_such"]
+    assert checked.n_skipped == 1 and list(checked.by_error_type()) == ["missing"]
+
+
+def test_a_condition_replaces_the_duration_columns():
+    rule = {"t": {"duration_validation": {"condition": "a <= b", "error_type": "bad"}}}
+    assert parse_rules(rule, "t")[0].kind == "condition"
