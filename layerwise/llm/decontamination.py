@@ -399,7 +399,8 @@ def _cleaner(phrases: Phrases):
             yield pd.Series(texts, dtype=object)
 
     clean.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(clean, "string")
+    # A filter on the result must not have it computed again.
+    return F.pandas_udf(clean, "string").asNondeterministic()
 
 
 def _cut(text: str, spans: list[dict]) -> str:
