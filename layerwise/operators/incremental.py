@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from layerwise.session import local_frame
@@ -135,9 +135,9 @@ def latest_file_per_group(
     files: DataFrame, group: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """One file per group, the last one in order: a file that is delivered again replaces itself."""
-    row = F.struct(*[c for c in files.columns if c not in group])
-    latest = files.groupBy(*group).agg(F.max_by(row, F.struct(*order)).alias("__row"))
-    return latest.select(*group, "__row.*").select(*files.columns)
+    latest = Window.partitionBy(*group).orderBy(*[F.desc_nulls_last(name) for name in order])
+    # at most one row per group and map task is shuffled
+    return files.withColumn("__rank", F.row_number().over(latest)).filter("__rank = 1").drop("__rank")
 
 
 def retention_plan(rows: DataFrame, reference: str, keep_days: int) -> DataFrame:

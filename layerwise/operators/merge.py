@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,18 +29,22 @@ def one_per_key(
     With ``latest`` the row with the greatest value of that column wins. Without, a repeated
     key stops the job, since the update would depend on row order.
     """
+    if latest:
+        order = Window.partitionBy(*keys).orderBy(F.desc_nulls_last(latest))
+        ranked = source.filter(_no_null(keys)).withColumn("__rank", F.row_number().over(order))
+        payload = [name for name in source.columns if name not in keys]
+        return ranked.filter("__rank = 1").select(*keys, *payload)
     payload = [name for name in source.columns if name not in keys]
     row = F.struct(*payload) if payload else F.struct(F.lit(1).alias("__none"))
-    pick = F.max_by(row, latest) if latest else F.any_value(row)
+    pick = F.any_value(row)
     grouped = (
         source.filter(_no_null(keys))
         .groupBy(*keys)
         .agg(pick.alias("__row"), F.count(F.lit(1)).alias("__n"))
     )
-    if not latest:
-        text = F.concat_ws("-", *[F.col(key).cast("string") for key in keys])
-        stop = F.raise_error(F.concat(F.lit("repeated source key: "), text))
-        grouped = grouped.withColumn("__row", F.when(F.col("__n") == 1, F.col("__row")).otherwise(stop))
+    text = F.concat_ws("-", *[F.col(key).cast("string") for key in keys])
+    stop = F.raise_error(F.concat(F.lit("repeated source key: "), text))
+    grouped = grouped.withColumn("__row", F.when(F.col("__n") == 1, F.col("__row")).otherwise(stop))
     return grouped.select(*keys, *[F.col("__row")[name].alias(name) for name in payload])
 
 

@@ -60,6 +60,7 @@ def landing_to_silver(
     date: str | None = None,
     paths: Sequence[str] | None = None,
     copy_raw: bool = True,
+    log_raw: bool = True,
 ) -> DataFrame:
     """Convert landing files to silver, copy them to raw, and return the file catalog.
 
@@ -102,7 +103,7 @@ def landing_to_silver(
             "file_name", "brand", "table_name", "filedate", "file_size"
         )
         layers.append_log(_stamped(rejected), layout.logs, "file_rejects")
-    if rows:
+    if rows and log_raw:
         log = presence.raw_log(files, settings.expected_tables)
         layers.append_log(_stamped(log.withColumn("reseller", F.lit(""))), layout.logs, "raw_logs")
     return files

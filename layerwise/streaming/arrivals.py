@@ -10,9 +10,11 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from layerwise.config import Settings
 from layerwise.functions.names import decode_file_name, parse_source_name
-from layerwise.operators.incremental import in_window
-from layerwise.plans.daily import Layout, landing_to_silver, silver_to_gold
-from layerwise.sources.landing import csv_glob
+from layerwise.operators import presence
+from layerwise.operators.incremental import in_window, ledger_entry
+from layerwise.plans.daily import Layout, gold_to_target, landing_to_silver, silver_to_gold
+from layerwise.sources import layers
+from layerwise.sources.landing import csv_glob, file_inventory
 
 
 def arriving_files(spark: SparkSession, landing: str, max_files: int = 1000) -> DataFrame:
@@ -45,9 +47,14 @@ def stream_to_gold(
     settings: Settings,
     checkpoint: str,
     reference: str | None = None,
+    load: bool = False,
 ) -> StreamingQuery:
     """Bring newly landed files to gold, then stop: one ``availableNow`` run.
 
+    With ``load`` the touched table dates go on to their targets, each with its ledger entry.
+    The raw log of a touched brand and date covers all its files in the landing folder, those
+    of earlier micro-batches too.
+
     Each micro-batch (at most ``maxFilesPerTrigger`` names) rewrites the silver partitions of
     its files and then the gold partitions of the touched table dates, so a repeated batch
     changes nothing. With a reference date, files older than the lookback window are left to
@@ -64,10 +71,15 @@ def stream_to_gold(
         if not paths:
             return
         session = batch.sparkSession
-        files = landing_to_silver(session, layout, settings, paths=paths)
+        files = landing_to_silver(session, layout, settings, paths=paths, log_raw=False)
+        _log_raw(session, layout, settings, files)
         touched = files.filter("valid").select("table_name", "filedate").distinct().collect()
         for table, date in touched:
             silver_to_gold(session, layout, table, date, files)
+            if load:
+                number = gold_to_target(session, layout, settings, table, date)
+                status = "no_data" if number is None else "success"
+                layers.append_log(ledger_entry(session, date, status, table), layout.logs, "ledger")
 
     return (
         arrivals.writeStream.foreachBatch(to_gold)
@@ -77,6 +89,19 @@ def stream_to_gold(
     )
 
 
+def _log_raw(spark: SparkSession, layout: Layout, settings: Settings, files: DataFrame) -> None:
+    """Raw-log rows of the brands and dates that a micro-batch touched, over all their files."""
+    touched = files.select("brand", "filedate").distinct()
+    for row in touched.select("filedate").distinct().collect():
+        listed = file_inventory(spark, layout.landing, csv_glob(row.filedate))
+        named = listed.select(parse_source_name(F.col("file_name")).alias("n")).select(
+            F.col("n.brand").alias("brand"), F.col("n.table").alias("table_name"), F.col("n.filedate").alias("filedate")
+        )
+        present = named.filter("brand <> '' AND table_name <> ''").join(touched, ["brand", "filedate"], "left_semi")
+        log = presence.raw_log(present, settings.expected_tables).withColumn("reseller", F.lit(""))
+        layers.append_log(log.withColumn("process_date", F.current_timestamp()), layout.logs, "raw_logs")
+
+
 def drop_late_repeats(
     events: DataFrame, keys: Sequence[str], event_time: str, lookback_days: int = 3
 ) -> DataFrame:

@@ -67,3 +67,24 @@ def test_repeats_are_dropped_within_the_window(spark, tmp_path):
     )
     run(query)
     assert sorted(r.k for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2]
+
+
+def test_a_brand_in_two_batches_is_logged_whole_and_loaded(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    folders = {n: str(tmp_path / n) for n in ("landing", "raw", "silver", "gold", "logs")}
+    layout = Layout(**folders, brands={}, schemas={}, rules={})
+    settings = Settings(expected_tables=("Device", "User"), target_names={"Device": "S_DEVICE", "User": "S_USER"})
+    for name in ("S_DEVICE", "S_USER"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    checkpoint = str(tmp_path / "checkpoint")
+    for name in ("North TV_Device_20250416.csv", "North TV_User_20250416.csv"):
+        (landing / name).write_text("a,b\n1,2\n3,4\n")
+        run(stream_to_gold(spark, layout, settings, checkpoint, load=True))
+    log = layers.read_log(spark, layout.logs, "raw_logs")
+    assert rows(log.select("file_count", "status")) == [(1, "Partial"), (2, "OK")]
+    last = log.orderBy(F.desc("process_date")).first()
+    assert (last.file_count, last.status) == (2, "OK")
+    assert spark.table("S_DEVICE").count() == spark.table("S_USER").count() == 2
+    ledger = layers.read_log(spark, layout.logs, "ledger")
+    assert rows(ledger.select("table_name", "status")) == [("Device", "success"), ("User", "success")]
