@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from layerwise.session import scratch_path
 
-from .common import by_size, written
+from .common import written
 from .tokens import END_OF_DOCUMENT, encoder
 
 LENGTH = 1024
@@ -28,6 +28,9 @@ KEY = 20_240_607
 ROUNDS = 4
 #: Sequences of one shard, written by one task: 64 MiB of two-byte ids.
 SHARD_ROWS = 1 << 15
+#: Sequences that are compressed together, and ids a task holds while it deals them to shards.
+BLOCK_ROWS = 128
+HELD_IDS = 1 << 25
 #: Steps of cycle walking.
 WALK = 64
 #: Two bytes of zeros end each record: the end-of-document id.
@@ -65,69 +68,140 @@ def feistel(number: Column, size: int, key: int = KEY, rounds: int = ROUNDS) ->
 # --- sequences ----------------------------------------------------------------------------
 
 
-def token_sequences(docs: DataFrame, length: int = LENGTH, tokenizer: str | None = None) -> DataFrame:
+def token_blocks(docs: DataFrame, length: int = LENGTH, tokenizer: str | None = None) -> DataFrame:
     """Documents' ids, each document ended by the end id, one after another in a task and cut
     every ``length`` ids; what is left at the end of a task is a shorter sequence.
 
-    ``ids`` is compressed two-byte little-endian; ``part`` and ``row`` number the sequences of a
-    task; ``first_doc`` and ``last_doc`` are the documents a sequence begins and ends in.
+    A row is a block of up to ``BLOCK_ROWS`` sequences, the ``row``-th of task ``part`` and on:
+    for each its ids' number and CRC and the documents it begins and ends in, and the ids of all,
+    two bytes little-endian, compressed together.
     """
-    schema = "part int, row bigint, first_doc bigint, last_doc bigint, n_ids int, ids_crc32 bigint, ids binary"
+    schema = (
+        "part int, row bigint, n_ids array<int>, ids_crc32 array<bigint>, first_doc array<bigint>,"
+        " last_doc array<bigint>, ids binary"
+    )
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = encoder(tokenizer).ids
-        squeeze = zstandard.ZstdCompressor(level=1).compress
+        squeeze = zstandard.ZstdCompressor(level=3).compress
         part = TaskContext.get().partitionId()
         open_ids, first, last, row = np.empty(0, dtype="<u2"), None, None, 0
-
-        def record(data: np.ndarray) -> tuple:
-            raw = data.tobytes()
-            return part, row, first, last, len(data), zlib.crc32(raw), squeeze(raw)
+        held: list[tuple] = []
+
+        def block() -> pd.DataFrame:
+            nonlocal held, row
+            sizes, crcs, firsts, lasts, data = (list(c) for c in zip(*held))
+            out = pd.DataFrame(
+                {
+                    "part": [part],
+                    "row": [row],
+                    "n_ids": [sizes],
+                    "ids_crc32": [crcs],
+                    "first_doc": [firsts],
+                    "last_doc": [lasts],
+                    "ids": [squeeze(b"".join(data))],
+                }
+            )
+            row += len(held)
+            held = []
+            return out
+
+        def hold(ids: np.ndarray) -> None:
+            raw = ids.tobytes()
+            held.append((len(ids), zlib.crc32(raw), first, last, raw))
 
         for frame in frames:
-            at = 0
-            for run in by_size(frame["text"], 1 << 22):
-                rows = []
-                for doc_id, text in zip(frame["doc_id"].iloc[at : at + len(run)], run):
-                    doc_id = None if pd.isna(doc_id) else int(doc_id)
-                    ids = np.frombuffer(encode(text), dtype="<u4")
-                    ids = np.append(ids, END_OF_DOCUMENT).astype("<u2")
-                    first = doc_id if not len(open_ids) else first
-                    last = doc_id
-                    ids = np.concatenate([open_ids, ids])
-                    whole = len(ids) // length * length
-                    for start in range(0, whole, length):
-                        rows.append(record(ids[start : start + length]))
-                        row += 1
-                        first = doc_id
-                    open_ids = ids[whole:]
-                at += len(run)
-                yield _frame(rows, schema)
+            for doc_id, text in zip(frame["doc_id"], frame["text"]):
+                doc_id = None if pd.isna(doc_id) else int(doc_id)
+                ids = np.frombuffer(encode(text if isinstance(text, str) else ""), dtype="<u4")
+                ids = np.append(ids, END_OF_DOCUMENT).astype("<u2")
+                first = doc_id if not len(open_ids) else first
+                last = doc_id
+                ids = np.concatenate([open_ids, ids])
+                whole = len(ids) // length * length
+                for start in range(0, whole, length):
+                    hold(ids[start : start + length])
+                    first = doc_id
+                    if len(held) == BLOCK_ROWS:
+                        yield block()
+                open_ids = ids[whole:]
         if len(open_ids):
-            yield _frame([record(open_ids)], schema)
+            hold(open_ids)
+        if held:
+            yield block()
 
     return docs.select("doc_id", "text").mapInPandas(cut, schema)
 
 
-def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=[c.split(" ")[0] for c in schema.split(", ")])
-    return out.astype({"first_doc": "Int64", "last_doc": "Int64"})
-
-
-def ordered(sequences: DataFrame, size: int, key: int = KEY, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """Sequences with ``number`` (by task, then row), ``slot``, ``shard`` and ``record``."""
-    tallies = sequences.groupBy("part").agg(F.count(F.lit(1)).alias("here"))
+def numbered(blocks: DataFrame) -> DataFrame:
+    """Blocks with ``number``, that of their first sequence among all, by task and row."""
+    tallies = blocks.groupBy("part").agg(F.sum(F.size("n_ids")).alias("here"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # One row a task of the scan: few enough for one window and a broadcast.
     firsts = tallies.select("part", F.coalesce(F.sum("here").over(before), F.lit(0)).alias("first"))
-    placed = sequences.join(F.broadcast(firsts), "part").withColumn("number", F.col("first") + F.col("row"))
-    slot = feistel(F.col("number"), size, key)
-    return (
-        placed.withColumn("slot", slot)
-        .withColumn("shard", F.floor(F.col("slot") / shard_rows).cast("int"))
-        .withColumn("record", F.col("slot") % shard_rows)
-        .drop("first", "part", "row")
-    )
+    return blocks.join(F.broadcast(firsts), "part").withColumn("number", F.col("first") + F.col("row"))
+
+
+def _dealt(length: int, shard_rows: int):
+    """Sequences of blocks dealt to shards: blocks of their records, compressed again."""
+
+    def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        restore, squeeze = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(level=3).compress
+        held: dict[int, list[tuple[int, np.ndarray]]] = {}
+        size = 0
+
+        def emit(shards: list[int]) -> pd.DataFrame:
+            nonlocal size
+            rows = []
+            for shard in shards:
+                own = held.pop(shard)
+                size -= len(own)
+                for at in range(0, len(own), BLOCK_ROWS):
+                    some = own[at : at + BLOCK_ROWS]
+                    records = np.array([r for r, _ in some], dtype="<i4").tobytes()
+                    rows.append((shard, records, squeeze(np.stack([d for _, d in some]).tobytes())))
+            return pd.DataFrame(rows, columns=["shard", "records", "ids"])
+
+        for frame in frames:
+            for sizes, slots, data in zip(frame["n_ids"], frame["slots"], frame["ids"]):
+                flat = np.frombuffer(restore(bytes(data)), dtype="<u2")
+                ends = np.cumsum(sizes)
+                for n, end, slot in zip(sizes, ends, slots):
+                    record = np.zeros(length, dtype="<u2")
+                    record[:n] = flat[end - n : end]
+                    held.setdefault(int(slot) // shard_rows, []).append((int(slot) % shard_rows, record))
+                    size += 1
+                full = [shard for shard, own in held.items() if len(own) >= BLOCK_ROWS]
+                if full:
+                    yield emit(full)
+                if size * length > HELD_IDS:
+                    yield emit(list(held))
+        if held:
+            yield emit(list(held))
+
+    return deal
+
+
+def _in_order(length: int, piece: int = 256):
+    """All records of one shard, put in their places; the last end id of a piece is left to the
+    writer's line end."""
+
+    def gather(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        restore = zstandard.ZstdDecompressor().decompress
+        held = [
+            (np.frombuffer(bytes(r), dtype="<i4"), bytes(d))
+            for frame in frames
+            for r, d in zip(frame["records"], frame["ids"])
+        ]
+        if not held:
+            return
+        shard = np.zeros((sum(len(r) for r, _ in held), length + 1), dtype="<u2")
+        for records, data in held:
+            shard[records, :length] = np.frombuffer(restore(data), dtype="<u2").reshape(-1, length)
+        for at in range(0, len(shard), piece):
+            yield pd.DataFrame({"value": [shard[at : at + piece].tobytes()[: -len(RECORD_END)]]})
+
+    return gather
 
 
 def materialise(
@@ -143,34 +217,41 @@ def materialise(
 
     A record is ``length`` ids, padded with the end id, and one more end id: ``2 * length + 2``
     bytes, so record r of shard s begins at byte ``r * (2 * length + 2)`` of its file, in the
-    order of slots. Null and empty texts are an end id. Repeated rows are written each. Columns
-    other than ``doc_id`` and ``text`` are not read. No documents write no shard.
+    order of slots. A task writes a shard, which it holds in memory: ``shard_rows`` bounds it.
+    Null and empty texts are an end id. Repeated rows are written each. Columns other than
+    ``doc_id`` and ``text`` are not read. No documents write no record.
     """
-    sequences = written(token_sequences(docs, length, tokenizer), "sequences", "none")
-    size = sequences.count()
-    placed = ordered(sequences, max(1, size), key, shard_rows)
-    if placed.agg(F.count_if(F.col("slot") >= size)).first()[0]:
+    blocks = written(token_blocks(docs, length, tokenizer), "sequences", "none")
+    size = blocks.agg(F.coalesce(F.sum(F.size("n_ids")), F.lit(0))).first()[0]
+    placed = numbered(blocks).withColumn(
+        "slots",
+        F.transform(F.sequence(F.lit(0), F.size("n_ids") - 1), lambda i: feistel(F.col("number") + i, max(1, size), key)),
+    )
+    out_of_range = F.exists("slots", lambda slot: slot >= size)
+    if placed.where(out_of_range).limit(1).count():
         raise RuntimeError("a walk did not come in range; choose another key")
     shards = max(1, -(-size // shard_rows))
-
-    def widen(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        restore = zstandard.ZstdDecompressor().decompress
-        for frame in frames:
-            data = [restore(bytes(d)).ljust(2 * length, b"\0") for d in frame["ids"]]
-            yield pd.DataFrame({"value": data})
-
-    # Partition i holds the slots of shard i in order, and becomes the file part-0000i. A binary
-    # value goes to a text file as it is; the end of a record is the end of a line.
+    # Partition i holds the slots of shard i, and becomes the file part-0000i. A binary value goes
+    # to a text file as it is; the end of a record is the end of a line.
     flat = (
-        placed.select("shard", "slot", "ids")
+        placed.select("n_ids", "slots", "ids")
+        .mapInPandas(_dealt(length, shard_rows), "shard int, records binary, ids binary")
         .repartitionById(shards, F.col("shard"))
-        .sortWithinPartitions("slot")
-        .mapInPandas(widen, "value binary")
+        .mapInPandas(_in_order(length), "value binary")
     )
     flat.select(F.col("value").cast("string").alias("value")).write.option("lineSep", RECORD_END).text(path)
-    stride = 2 * length + len(RECORD_END)
-    return placed.select(
-        "slot", "shard", (F.col("record") * stride).alias("offset"), "number", "first_doc", "last_doc", "n_ids", "ids_crc32"
+    columns = ["slots", "n_ids", "ids_crc32", "first_doc", "last_doc"]
+    each = placed.select("number", F.posexplode(F.arrays_zip(*columns)).alias("at", "s"))
+    slot = F.col("s.slots")
+    return each.select(
+        slot.alias("slot"),
+        F.floor(slot / shard_rows).cast("int").alias("shard"),
+        (slot % shard_rows * (2 * length + len(RECORD_END))).alias("offset"),
+        (F.col("number") + F.col("at")).alias("number"),
+        "s.first_doc",
+        "s.last_doc",
+        "s.n_ids",
+        "s.ids_crc32",
     )
 
 
