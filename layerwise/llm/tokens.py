@@ -65,7 +65,7 @@ class IdCache(dict):
 class Encoder:
     """``ids(text)``: the ids of a text as bytes, four per id."""
 
-    def __init__(self, path: str | None = None, most_pieces: int = 600_000):
+    def __init__(self, path: str | None = None, most_pieces: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
