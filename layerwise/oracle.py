@@ -176,6 +176,8 @@ SELECT event_type AS table_name, CAST(sum(1 + CAST(contains(line, chr(10)) AS IN
     "redelivery": """
 SELECT count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS id_sum, CAST(1 AS BIGINT) AS n_tables
 FROM events WHERE event_id % 2 = 0""",
+    "stream_roundtrip": """
+SELECT event_type, count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events GROUP BY event_type""",
     "failed_runs": f"""WITH {_LEDGER}, s AS (SELECT filedate, arg_max(status, processed_at) AS status,
   max(processed_at) AS last FROM l GROUP BY filedate)
 SELECT 'run-' || filedate AS process_id, filedate AS date_folder, CAST(90 AS BIGINT) AS duration_seconds,

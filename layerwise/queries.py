@@ -26,6 +26,7 @@ from layerwise.operators.rules import Checked, check_rules, parse_rules, rule_fr
 from layerwise.plans import daily
 from layerwise.session import scratch_path
 from layerwise.sources import landing, layers
+from layerwise.streaming import arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -224,6 +225,26 @@ def redelivery(spark, sf):
     return reduce(DataFrame.unionByName, counts).withColumn("n_tables", F.lit(len(counts)).cast("bigint"))
 
 
+@query
+def stream_roundtrip(spark, sf):
+    """All events as arriving files, streamed to gold."""
+    root = scratch_path(spark, "flow")
+    folders = [f"{root}/{part}" for part in ("raw", "silver", "gold", "logs")]
+    layout = daily.Layout(_delivered_events(spark, sf), *folders, {}, {}, {})
+    settings = Settings(expected_tables=tb.EVENT_TYPES)
+    stream = arrivals.stream_to_gold(spark, layout, settings, f"{root}/checkpoint")
+    stream.awaitTermination()
+    back = [layers.read_layer(spark, layout.gold, kind, "20240131") for kind in tb.EVENT_TYPES]
+    counts = [
+        frame.groupBy("event_type").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("event_id").cast("bigint")).alias("id_sum")
+        )
+        for frame in back
+        if frame is not None
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query
 def failed_runs(spark, sf):
     """Run-log and alert rows of the ledger's failed dates."""
