@@ -69,8 +69,9 @@ def feistel(number: Column, size: int, key: int = KEY, rounds: int = ROUNDS) ->
 
 
 def token_blocks(docs: DataFrame, length: int = LENGTH, tokenizer: str | None = None) -> DataFrame:
-    """Documents' ids, each document ended by the end id, one after another in a task and cut
-    every ``length`` ids; what is left at the end of a task is a shorter sequence.
+    """Documents' ids as flat files hold them (``Encoder.flat_ids``), each document ended by the
+    end id, which no text has then, one after another in a task and cut every ``length`` ids; what
+    is left at the end of a task is a shorter sequence.
 
     A row is a block of up to ``BLOCK_ROWS`` sequences, the ``row``-th of task ``part`` and on:
     for each its ids' number and CRC and the documents it begins and ends in, and the ids of all,
@@ -82,7 +83,7 @@ def token_blocks(docs: DataFrame, length: int = LENGTH, tokenizer: str | None =
     )
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer).ids
+        encode = encoder(tokenizer).flat_ids
         squeeze = zstandard.ZstdCompressor(level=3).compress
         part = TaskContext.get().partitionId()
         open_ids, first, last, row = np.empty(0, dtype="<u2"), None, None, 0
@@ -113,8 +114,7 @@ def token_blocks(docs: DataFrame, length: int = LENGTH, tokenizer: str | None =
         for frame in frames:
             for doc_id, text in zip(frame["doc_id"], frame["text"]):
                 doc_id = None if pd.isna(doc_id) else int(doc_id)
-                ids = np.frombuffer(encode(text if isinstance(text, str) else ""), dtype="<u4")
-                ids = np.append(ids, END_OF_DOCUMENT).astype("<u2")
+                ids = np.append(encode(text if isinstance(text, str) else ""), np.uint16(END_OF_DOCUMENT))
                 first = doc_id if not len(open_ids) else first
                 last = doc_id
                 ids = np.concatenate([open_ids, ids])
@@ -216,7 +216,8 @@ def materialise(
     index: one row a sequence, without its ids.
 
     A record is ``length`` ids, padded with the end id, and one more end id: ``2 * length + 2``
-    bytes, so record r of shard s begins at byte ``r * (2 * length + 2)`` of its file, in the
+    bytes. An end id that a further id follows ends a document there and nothing else, as id 0 of
+    a text is stored as another value (``Encoder.flat_ids``); ``n_ids`` tells the padding. So record r of shard s begins at byte ``r * (2 * length + 2)`` of its file, in the
     order of slots. A task writes a shard, which it holds in memory: ``shard_rows`` bounds it.
     Null and empty texts are an end id. Repeated rows are written each. Columns other than
     ``doc_id`` and ``text`` are not read. No documents write no record.

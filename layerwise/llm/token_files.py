@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from layerwise.session import scratch_path
+from layerwise.session import scratch_path, setting
 
 from .common import by_size
 from .tokens import END_OF_DOCUMENT, encoder
@@ -26,24 +26,65 @@ WIDTH = 2
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
     """Ids of each text, two bytes each, and the end id after it; one flat file a task, with no
-    index. Null and empty texts are an end id alone."""
+    index. The end id stands for nothing else (``Encoder.flat_ids``). Null and empty texts are an
+    end id alone."""
 
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids = encoder(tokenizer).ids
+        ids = encoder(tokenizer).flat_ids
         for frame in frames:
             for run in by_size(frame["text"], 1 << 22):
-                yield pd.DataFrame({"value": [np.frombuffer(ids(t), dtype="<u4").astype("<u2").tobytes() for t in run]})
+                yield pd.DataFrame({"value": [ids(t).tobytes() for t in run]})
+
+    _written_flat(docs.select("text").mapInPandas(encode, "value binary"), path)
 
-    flat = docs.select("text").mapInPandas(encode, "value binary")
-    # A binary value goes to a text file as it is; the end id is the end of the line.
-    end = END_OF_DOCUMENT.to_bytes(WIDTH, "little").decode("latin-1")
-    flat.select(F.col("value").cast("string").alias("value")).write.option("lineSep", end).text(path)
 
+def write_named_files(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
+    """As ``write_token_files``, under ``kind=ids``; the task that writes a file also writes one
+    of the same part number under ``kind=names``, with a line for each document: its number in
+    the file and, unless null, its ``doc_id``."""
 
-def read_blocks(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``file``, ``block`` and ``ids`` (bytes) of the flat files under ``path``. A file is read by
-    one task; its bytes are cut there, before they reach Python."""
-    files = spark.read.format("binaryFile").load(path).where("length > 0")
+    def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids = encoder(tokenizer).flat_ids
+        number = 0
+        for frame in frames:
+            at = 0
+            for run in by_size(frame["text"], 1 << 22):
+                names = frame["doc_id"].iloc[at : at + len(run)]
+                lines = "".join(f"{i}\n" if n is None else f"{i} {n}\n" for i, n in enumerate(names, number))
+                at, number = at + len(run), number + len(run)
+                kinds = ["ids"] * len(run) + ["names"]
+                yield pd.DataFrame({"kind": kinds, "value": [*(ids(t).tobytes() for t in run), lines.encode()]})
+
+    # As text: a column of numbers with nulls would reach pandas as floats.
+    both = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    # Both files of a task are open at once, so its rows are not sorted by kind.
+    with setting(docs.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", "2"):
+        _written_flat(both.mapInPandas(encode, "kind string, value binary"), path, "kind")
+
+
+def _written_flat(flat: DataFrame, path: str, *kinds: str) -> None:
+    # A binary value goes to a text file as it is; the end id is the end of the line.
+    end = END_OF_DOCUMENT.to_bytes(WIDTH, "little").decode("latin-1")
+    rows = flat.select(*kinds, F.col("value").cast("string").alias("value"))
+    rows.write.partitionBy(*kinds).option("lineSep", end).text(path)
+
+
+def read_names(spark: SparkSession, path: str) -> DataFrame:
+    """``file``, ``document`` and ``doc_id`` (text) of ``write_named_files``."""
+    lines = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path)
+    # The end id after a run of lines stands before the next line.
+    line = F.translate("value", "\0", "").alias("line")
+    found = lines.where(F.col("_metadata.file_path").contains("/kind=names/"))
+    found = found.select(F.col("_metadata.file_name").alias("file"), line).where("line != ''")
+    parts = F.split("line", " ", 2)
+    return found.select("file", F.get(parts, 0).cast("bigint").alias("document"), F.get(parts, 1).alias("doc_id"))
+
+
+def read_blocks(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES, within: str = "") -> DataFrame:
+    """``file``, ``block`` and ``ids`` (bytes) of the flat files under ``path`` whose path has
+    ``within``. A file is read by one task; its bytes are cut there, before they reach Python."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).where("length > 0")
+    files = files.where(F.col("_metadata.file_path").contains(within))
     last = F.floor((F.col("length") - 1) / block_bytes).cast("int")
     cut = F.transform(
         F.sequence(F.lit(0), last), lambda b: F.substring(F.col("content"), b * block_bytes + 1, F.lit(block_bytes))
@@ -115,9 +156,12 @@ def count_tokens(blocks: DataFrame, end: int = END_OF_DOCUMENT, width: int = WID
 
 
 def document_tokens(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """Flat token files of the documents, written to the shared folder, and their counts. Files
-    are numbered by the task that wrote them."""
-    path = scratch_path(docs.sparkSession, "token-files")
-    write_token_files(docs, path, tokenizer)
-    found = count_tokens(read_blocks(docs.sparkSession, path))
-    return found.withColumn("file", F.regexp_extract("file", r"part-(\d+)", 1).cast("int"))
+    """Flat token files of the documents, written to the shared folder, and their counts, each
+    with the document's ``doc_id``. Files are numbered by the task that wrote them."""
+    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "token-files")
+    write_named_files(docs, path, tokenizer)
+    part = F.regexp_extract("file", r"part-(\d+)", 1).cast("int")
+    found = count_tokens(read_blocks(spark, path, within="/kind=ids/")).withColumn("file", part)
+    names = read_names(spark, path).withColumn("file", part)
+    names = names.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
+    return found.join(names, ["file", "document"], "left").select("doc_id", *found.columns)

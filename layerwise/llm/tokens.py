@@ -72,6 +72,8 @@ class Encoder:
         path = path or default_tokenizer()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        #: The first value that is no id: flat files hold it for the ordinary id 0.
+        self.spare = max(self.tokenizer.get_vocab().values()) + 1
         ranks = _merge_ranks(path)
         if ranks is None:
             short = self.whole
@@ -95,6 +97,18 @@ class Encoder:
         pieces = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
         return b"".join(map(self.cache.__getitem__, filter(None, pieces)))
 
+    def flat_ids(self, text: str) -> np.ndarray:
+        """Ids of a text as flat files hold them, two bytes each. The end of a document is 0 there,
+        which is also the id of an ordinary token: that one is stored as ``spare``."""
+        if self.spare > 0xFFFF:
+            raise ValueError("flat files hold two bytes an id, and this tokenizer has too many ids")
+        ids = np.frombuffer(self.ids(text), dtype="<u4")
+        return np.where(ids == END_OF_DOCUMENT, self.spare, ids).astype("<u2")
+
+    def restored(self, flat: np.ndarray) -> np.ndarray:
+        """The tokenizer's ids of one document's ids from a flat file, its end left out."""
+        return np.where(flat == self.spare, END_OF_DOCUMENT, flat)
+
 
 _ENCODERS: dict[str, Encoder] = {}
 

@@ -78,6 +78,37 @@ def _split(doc):
             part.append(i)
 
 
+MARKS = [(11, "Hello world! Fine! ok"), (12, "!"), (None, "a! b"), (13, "!"), (2**53 + 1, "none"), (14, None), (15, "! !\n!")]
+
+
+def marked_documents(spark, parts=1):
+    docs = spark.createDataFrame(MARKS, "doc_id bigint, text string")
+    return docs.repartition(parts) if parts > 1 else docs.coalesce(1)
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_an_ordinary_id_zero_ends_no_document(spark, parts):
+    assert ids_of("a! b")[1] == 0
+    rows = token_files.document_tokens(marked_documents(spark, parts)).collect()
+    assert all(r["ended"] for r in rows)
+    expected = sorted((str(i), len(ids_of(t))) for i, t in MARKS)
+    assert sorted((str(r["doc_id"]), r["n_tokens"]) for r in rows) == expected
+    if parts == 1:
+        starts = np.cumsum([0] + [len(ids_of(t)) + 1 for _, t in MARKS])[:-1].tolist()
+        assert sorted(r["start"] for r in rows) == starts
+
+
+def test_doc_ids_of_odd_documents(spark):
+    rows = token_files.document_tokens(odd_documents(spark)).collect()
+    expected = sorted((str(i), len(ids_of(t))) for i, t in ODD_TEXTS)
+    assert sorted((str(r["doc_id"]), r["n_tokens"]) for r in rows) == expected
+
+
+def test_flat_ids_are_restored():
+    flat_ids = encoder().flat_ids("Hello world! Fine! ok")
+    assert 0 not in flat_ids and encoder().restored(flat_ids).tolist() == ids_of("Hello world! Fine! ok")
+
+
 # --- training order -----------------------------------------------------------------------
 
 
@@ -117,6 +148,15 @@ def test_shards_hold_every_id(spark, tmp_path):
     assert sum(r["n_ids"] for r in index) == sum(len(ids_of(t)) + 1 for _, t in ODD_TEXTS)
 
 
+def test_shards_tell_where_documents_end(spark, tmp_path):
+    docs = marked_documents(spark)
+    path = str(tmp_path / "marks")
+    index = materialise.materialise(docs, path, length=4, shard_rows=3).collect()
+    stream = check_shards(path, index, 4, 3)
+    texts = [encoder().restored(np.array(part, dtype=int)).tolist() for part in _split(stream)]
+    assert texts == [ids_of(t) for _, t in MARKS]
+
+
 def test_no_documents_write_no_record(spark, tmp_path):
     assert materialise.materialise(no_documents(spark), str(tmp_path / "none")).collect() == []
     assert not b"".join(flat(tmp_path / "none"))
