@@ -25,6 +25,9 @@ GOOD, BAD, OPEN = 1, -1, 0
 LONG = 8
 LINK_SHARE = 0.5
 STOP_SHARE = 0.15
+#: Few links; a long block with no more is text, in whatever language, unless one word is most of it.
+FEW_LINKS = 0.2
+SAME_SHARE = 0.5
 
 #: Frequent function words of English, German, French and Spanish.
 STOP_WORDS = frozenset(
@@ -79,8 +82,16 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+))""")
-_RAW_END = {tag: re.compile(rf"</{tag}\b[^>]*(?:>|\Z)|\Z", re.I) for tag in ("script", "style", "textarea", "title", "noscript", "iframe", "template")}
-_LETTERS = re.compile(r"[^\W\d_]+")
+_RAW_END = {tag: re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I) for tag in ("script", "style", "textarea", "title", "noscript", "iframe", "template")}
+#: Words; scripts without spaces between words count by character.
+_LETTERS = re.compile(r"[\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff]|[^\W\d_]+")
+_SENTENCE_END = re.compile(r"[.!?…。！？।؟۔]['\"»”’)\]]*$")
+#: The wording of a notice, not the mere word or sign in a sentence.
+_NOTICE = re.compile(r"^©|(?:©|\(c\)|\bcopyright)\s*(?:©|\(c\)|(?:19|20)\d\d|by\b)|\ball rights reserved\b", re.I)
+_COPYRIGHT = re.compile(r"©|\bcopyright\b", re.I)
+_HEADING = re.compile("h[1-6]")
+#: Where an element without an end is taken to end: a block tag, but not within a string of a script.
+_BLOCK_TAG = re.compile(rf"(?<![\"'`\\])</?(?:{'|'.join(sorted(_BLOCKS))})(?=[\s/>])", re.I)
 
 
 @dataclass
@@ -89,7 +100,8 @@ class Block:
     linked: int = 0  # characters within links
     tag: str = ""
     boilerplate: bool = False
-    article: bool = False
+    article: bool = False  # or main
+    own: bool = False  # in an article element
     text: str = ""
 
 
@@ -120,9 +132,13 @@ def _is_boilerplate(tag: str, attributes: dict[str, str], in_article: bool) -> b
 
 def blocks(page: str) -> list[Block]:
     """Blocks of a page in order. Broken markup is read on: an end tag closes the nearest open
-    element of its name, if there is one; what is open at the end is closed there."""
+    element of its name, if there is one; what is open at the end is closed there. A skipped
+    element without an end ends at the next block tag."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = [("", False, False)]  # tag, in boilerplate, in article
+    # tag, in boilerplate, in article or main, in article
+    stack: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]
+    ends: dict[str, dict[int, int]] = {}
+    endless: set[str] = set()
     opened: Counter = Counter()  # elements on the stack, by tag
     current = Block()
     links = 0
@@ -141,8 +157,8 @@ def blocks(page: str) -> list[Block]:
         if text:
             current.text = text
             out.append(current)
-        _, boilerplate, article = stack[-1]
-        current = Block(tag=tag, boilerplate=boilerplate, article=article)
+        _, boilerplate, article, inner = stack[-1]
+        current = Block(tag=tag, boilerplate=boilerplate, article=article, own=inner)
 
     def add(text: str) -> None:
         if text:
@@ -150,6 +166,23 @@ def blocks(page: str) -> list[Block]:
             if links:
                 current.linked += len(text)
 
+    def beyond(tag: str, at: int) -> int:
+        """The place after a skipped element whose start tag ends at ``at``."""
+        if tag in _RAW_END:
+            end = None if tag in endless else _RAW_END[tag].search(page, at)
+            if end:
+                return end.end()
+            endless.add(tag)  # from here on
+        else:
+            if tag not in ends:
+                ends[tag] = _ends(page, tag)
+            if at in ends[tag]:
+                return ends[tag][at]
+            if tag == "head":
+                return at
+        block = _BLOCK_TAG.search(page, at)
+        return block.start() if block else len(page)
+
     while True:
         match = _TOKEN.search(page, at)
         if not match:
@@ -173,15 +206,13 @@ def blocks(page: str) -> list[Block]:
                 flush("")
             continue
         if tag in _SKIPPED:
-            if tag in _RAW_END:
-                at = _RAW_END[tag].search(page, at).end()
-            elif not match[3].rstrip().endswith("/"):
-                at = _skip(page, at, tag)
+            if tag in _RAW_END or not match[3].rstrip().endswith("/"):
+                at = beyond(tag, at)
             if tag in ("select", "textarea", "iframe", "video", "audio"):
                 add(" ")
             continue
         if tag == "title":
-            at = _RAW_END["title"].search(page, at).end()
+            at = beyond(tag, at)
             continue
         if tag in ("br", "wbr", "img", "hr") or tag in _VOID:
             if tag == "hr":
@@ -194,14 +225,14 @@ def blocks(page: str) -> list[Block]:
             continue
         while depth := _closed_by(tag, stack):
             close(depth)  # and what was left open inside of it
-        _, boilerplate, article = stack[-1]
+        _, boilerplate, article, inner = stack[-1]
         own = _is_boilerplate(tag, _attributes(match[3]), article)
         if tag == "main":
             boilerplate = False
         # Other elements tell nothing; unclosed ones in any number are not to be looked through.
         tells = tag in _BLOCKS or tag == "a" or own or boilerplate
         if tells and not match[3].rstrip().endswith("/"):
-            stack.append((tag, boilerplate or own, article or tag in ("article", "main")))
+            stack.append((tag, boilerplate or own, article or tag in ("article", "main"), inner or tag == "article"))
             opened[tag] += 1
             links += tag == "a"
         if tag in _BLOCKS:
@@ -212,7 +243,7 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-def _closed_by(tag: str, stack: list[tuple[str, bool, bool]]) -> int:
+def _closed_by(tag: str, stack: list[tuple[str, bool, bool, bool]]) -> int:
     """Depth of the open element that a new one ends, not beyond a block that holds it; or 0."""
     for depth in range(len(stack) - 1, 0, -1):
         name = stack[depth][0]
@@ -224,35 +255,43 @@ def _closed_by(tag: str, stack: list[tuple[str, bool, bool]]) -> int:
     return 0
 
 
-def _skip(page: str, at: int, tag: str) -> int:
-    """Past the end of an element, nested ones of its name included."""
-    edge = re.compile(rf"<(/?){tag}\b[^>]*>", re.I)
-    depth = 1
-    for match in edge.finditer(page, at):
-        depth += -1 if match[1] else not match[0].endswith("/>")
-        if not depth:
-            return match.end()
-    return at if tag == "head" else len(page)
+def _ends(page: str, tag: str) -> dict[int, int]:
+    """For each element of this name that has an end: where its start tag ends, and its end tag."""
+    found: dict[int, int] = {}
+    opened: list[int] = []
+    for match in re.finditer(rf"<(/?){tag}(?=[\s/>])[^>]*>", page, re.I):
+        if match[1]:
+            if opened:
+                found[opened.pop()] = match.end()
+        elif not match[0].endswith("/>"):
+            opened.append(match.end())
+    return found
 
 
 def first_pass(block: Block) -> int:
     if block.boilerplate:
         return BAD
+    if block.own:  # an article's own blocks are its text, links or not
+        return GOOD
     text = block.text
     words = _LETTERS.findall(text.lower())
+    heading = bool(_HEADING.fullmatch(block.tag))
     share = min(1.0, block.linked / len(text))
     if share > LINK_SHARE and (not block.article or len(words) < LONG):
-        return BAD
-    if block.article:  # what an article holds is its text, unless links or short
+        return OPEN if heading else BAD
+    if block.article:  # what main holds is its text, unless links or short
         return GOOD if len(words) >= LONG else OPEN
-    if "©" in text or re.search(r"(?i)\ball rights reserved\b|\bcopyright\b", text):
+    if len(words) < 3 * LONG and _NOTICE.search(text):
         return BAD
     if len(words) < LONG:
-        return OPEN
-    stops = sum(w in STOP_WORDS for w in words) / len(words)
-    if stops >= STOP_SHARE:
+        return BAD if _COPYRIGHT.search(text) and not heading else OPEN
+    if sum(w in STOP_WORDS for w in words) / len(words) >= STOP_SHARE:
         return GOOD
-    return OPEN if len(words) < 3 * LONG else BAD
+    if Counter(words).most_common(1)[0][1] > SAME_SHARE * len(words):
+        return OPEN if len(words) < 3 * LONG else BAD
+    # Stop words tell of four languages only; text of others is told by its length or a sentence's end.
+    prose = share <= FEW_LINKS and (len(words) >= 3 * LONG or _SENTENCE_END.search(text))
+    return GOOD if prose else OPEN
 
 
 def second_pass(found: list[Block], labels: list[int]) -> list[int]:
@@ -279,7 +318,7 @@ def second_pass(found: list[Block], labels: list[int]) -> list[int]:
     for i, label in enumerate(labels):
         if label == OPEN:
             (left, back), (right, ahead) = before[i], after[i]
-            heading = bool(re.fullmatch("h[1-6]", found[i].tag))
+            heading = bool(_HEADING.fullmatch(found[i].tag))
             decided[i] = right if ahead < back or (ahead == back and heading) else left
     return decided
 

@@ -59,6 +59,33 @@ def test_rules_without_an_article_element():
     assert main_text(page(f"<p>{words}</p><p>{PROSE}</p>")) == PROSE
 
 
+LAW = "Under the law of copyright the © sign is not needed for a work to be protected, and all that the author has to do is to write it down in a form of some kind."
+POLISH = "Wczoraj wieczorem mieszkańcy niewielkiego miasteczka zebrali się przed ratuszem, aby wspólnie świętować otwarcie nowej biblioteki, którą budowano ponad cztery lata dzięki składkom mieszkańców oraz pomocy miasta."
+RUSSIAN = "Вчера вечером жители небольшого города собрались перед ратушей, чтобы вместе отпраздновать открытие новой библиотеки."
+CHINESE = "昨天晚上，小镇的居民聚集在市政厅前，共同庆祝新图书馆的落成，这座图书馆用了四年时间建成。"
+
+
+@pytest.mark.parametrize("prose", [LAW, "The word copyright is in the title of a book that was written by him.", POLISH, RUSSIAN, CHINESE])
+@pytest.mark.parametrize("tag", ["p", "div"])
+def test_prose_in_plain_elements(prose, tag):
+    notice = "<div>Copyright 2024 Example Media. All rights reserved. No part may be used without the consent of the owner.</div>"
+    links = "<ul><li><a href=1>One</a></li><li><a href=2>Two</a></li></ul>"
+    assert main_text(page(f"{links}<{tag}>{prose}</{tag}>{links}{notice}<div>Copyright Example</div>")) == prose
+
+
+def test_linked_heading_and_entries_of_an_article():
+    body = f"<article><h1><a href=1>A title</a></h1><p>{PROSE}</p><ul><li><a href=2>One</a></li><li>Two</li></ul></article>"
+    assert main_text(page(body)) == f"A title\n\n{PROSE}\n\nOne\n\nTwo"
+    assert main_text(page(f"<div><h1><a href=1>A title</a></h1><p>{PROSE}</p></div>")) == f"A title\n\n{PROSE}"
+
+
+@pytest.mark.parametrize("tag", ["svg", "button", "select", "object", "audio", "textarea", "noscript", "iframe", "script", "style"])
+def test_skipped_element_without_an_end(tag):
+    assert main_text(f"<article><p>{PROSE}</p><{tag}>no <i>no</i><p>{PROSE}</p></article>") == f"{PROSE}\n\n{PROSE}"
+    many = f"<article>{f'<{tag}>no<p>x</p>' * 20_000}</article>"
+    assert main_text(many).split() == ["x"] * 20_000
+
+
 def test_references_and_white_space():
     body = "<article><p>a &amp;&lt;b&gt; &eacute;&#233;&#xe9; \n\t c&nbsp;d<br>e<b>f</b>g &unknown; 1 < 2</p></article>"
     assert main_text(body) == "a &<b> ééé c d efg &unknown; 1 < 2"
