@@ -162,6 +162,24 @@ def fillings(counts: np.ndarray, room: int, most: int, effort: int) -> Iterator[
         yield tuple(chosen)
 
 
+def dive(counts: np.ndarray, capacity: int, effort: int) -> list[tuple[Pattern, int]]:
+    """A whole solution by the first filling around the largest piece left, each used as often as
+    its lengths last: about as many steps as there are lengths, whatever their counts."""
+    left = counts.copy()
+    taken: list[tuple[Pattern, int]] = []
+    while left.any():
+        largest = int(np.flatnonzero(left)[-1])
+        left[largest] -= 1
+        pattern = (largest, *next(fillings(left, capacity - largest, 1, effort)))
+        left[largest] += 1
+        need = Counter(pattern)
+        times = min(int(left[size]) // number for size, number in need.items())
+        for size, number in need.items():
+            left[size] -= number * times
+        taken.append((pattern, times))
+    return taken
+
+
 def plan_sequences(
     counts: np.ndarray, capacity: int = CAPACITY, nodes: int = 1_500, breadth: int = 3, effort: int = 400
 ) -> list[tuple[Pattern, int]]:
@@ -169,8 +187,10 @@ def plan_sequences(
 
     Branch and bound: around the largest piece left, each undominated filling is a branch; a
     branch is cut when the sequences used plus those that its remaining lengths need at least
-    are no fewer than the best solution has. The first solution is best fit; better ones replace
-    it. The search stops when the lower bound is reached or after ``nodes`` nodes.
+    are no fewer than the best solution has. The first solutions are best fit and, where that
+    misses the lower bound, whole dives of ``effort`` and ten times it, which no number of nodes
+    ends; better ones replace them. The search stops when the lower bound is reached or after
+    ``nodes`` nodes.
     """
     counts = np.asarray(counts, dtype=np.int64)
     if len(counts) != capacity + 1 or counts[0]:
@@ -178,6 +198,12 @@ def plan_sequences(
     best = best_fit(counts, capacity)
     fewest = sum(times for _, times in best)
     bound = lower_bound(counts, capacity)
+    for steps in (effort, 10 * effort):
+        if fewest > bound:
+            found = dive(counts, capacity, steps)
+            used = sum(times for _, times in found)
+            if used < fewest:
+                fewest, best = used, found
     left = counts.copy()
     sizes = np.arange(capacity + 1)
     remaining, used = int((left * sizes).sum()), 0

@@ -67,6 +67,13 @@ def test_plan_holds_large_histograms(low, high):
     check_plan(np.bincount(sizes, minlength=2049) * 1_000_000, 2048)
 
 
+def test_search_is_whole_with_many_lengths():
+    sizes = np.random.default_rng(0).lognormal(6.5, 0.7, 300_000).astype(int)
+    counts = np.bincount(sizes[(sizes >= 160) & (sizes <= 2048)], minlength=2049)
+    assert np.count_nonzero(counts) > 1_500
+    assert used(check_plan(counts, 2048)) < used(best_fit(counts, 2048))
+
+
 def test_plan_of_nothing():
     assert plan_sequences(np.zeros(2049, dtype=int)) == []
 
