@@ -5,7 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, html_text, language, materialise, packing, sharding, simhash, sketches, token_files, toxicity
+from . import (
+    decontamination,
+    html_text,
+    language,
+    materialise,
+    negatives,
+    packing,
+    sharding,
+    simhash,
+    sketches,
+    token_files,
+    toxicity,
+    whitening,
+)
 from .common import held_out, table
 
 
@@ -79,8 +92,19 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(pages).select("page_id", "url", "text", "n_chars")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_language, op3_best_fit_packing, op4_decontamination, op5_token_counts,
     op6_sharding, op7_simhash, op8_training_order, op9_fingerprints, op10_html,
+    op11_whitening, op12_hard_negatives,
 )}
 ORACLE: dict[str, str] = {}
