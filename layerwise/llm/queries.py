@@ -9,6 +9,7 @@ from . import (
     decontamination,
     html_text,
     language,
+    language_model,
     materialise,
     negatives,
     packing,
@@ -19,7 +20,7 @@ from . import (
     toxicity,
     whitening,
 )
-from .common import held_out, table
+from .common import FOLDS, held_out, table
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,9 +103,25 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
 
 
+def op13_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    apart = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % FOLDS == 1
+    docs = docs.withColumn("held_out", apart)
+    model = language_model.fit(docs.where(~apart).select("text"))
+    return model.score(docs).select(
+        "doc_id",
+        "held_out",
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("bigint").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_language, op3_best_fit_packing, op4_decontamination, op5_token_counts,
     op6_sharding, op7_simhash, op8_training_order, op9_fingerprints, op10_html,
-    op11_whitening, op12_hard_negatives,
+    op11_whitening, op12_hard_negatives, op13_language_model,
 )}
 ORACLE: dict[str, str] = {}
