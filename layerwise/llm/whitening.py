@@ -29,11 +29,19 @@ COMPONENTS = 4
 LEAST_DEVIATION = 1e-11
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A value for each batch of vectors: every step reads them all, and arrays of longs read slowly."""
+    for batch in batches:
+        if batch.num_rows:
+            data = batch.column(0).flatten().to_numpy(zero_copy_only=False).astype("<i8").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], names=["block"])
+
+
 class CentredRows:
     """The fit list, whose products with short vectors are sums over tasks."""
 
     def __init__(self, rows: DataFrame):
-        self.rows = rows.select("x")
+        self.blocks = written(rows.select("x").mapInArrow(_packed, "block binary"), "whitening-blocks")
         totals = rows.select(F.posexplode("x").alias("at", "value")).groupBy("at").agg(
             F.sum(F.col("value").cast("decimal(38,0)")).alias("total"), F.count(F.lit(1)).alias("n")
         )
@@ -50,12 +58,13 @@ class CentredRows:
         def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros(length)
             for batch in batches:
-                if batch.num_rows:
-                    total += of_block(matrix(batch.column(0), width) - mean)
+                for block in batch.column(0):
+                    x = np.frombuffer(block.as_buffer(), dtype="<i8").reshape(-1, width)
+                    total += of_block(x - mean)
             at = pa.array(np.arange(length, dtype=np.int32))
             yield pa.RecordBatch.from_arrays([at, pa.array(total)], names=["at", "part"])
 
-        partial = self.rows.mapInArrow(parts, "at int, part double")
+        partial = self.blocks.mapInArrow(parts, "at int, part double")
         out = np.zeros(length)
         for at, total in partial.groupBy("at").agg(F.sum("part")).collect():
             out[at] = total
