@@ -47,6 +47,8 @@ class Settings:
     error_threshold: float = 5.0
     warning_threshold: float = 10.0
     loaded_by: str = "LAYERWISE"
+    # encoding of landing files that are not UTF-8; without one they are rejected
+    fallback_encoding: str | None = None
     dedup_keys: dict[str, list[str]] = field(default_factory=lambda: dict(DEDUP_KEYS))
     target_names: dict[str, str] = field(default_factory=lambda: dict(TARGET_NAMES))
 

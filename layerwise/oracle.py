@@ -158,6 +158,14 @@ SELECT l_orderkey AS file, true AS valid,
 FROM lineitem GROUP BY l_orderkey""",
     "landing_roundtrip": f"""WITH {_NOTED}
 SELECT event_id, user_id, event_type, note FROM n""",
+    "large_csv_splits": """WITH n AS (SELECT *, CASE WHEN l_linenumber = 1 THEN 'one' || chr(10) || 'two'
+  ELSE '5" pipe "' || l_returnflag || '"' || chr(10) || ',' || l_linestatus END AS note FROM lineitem)
+SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, count(*) AS n_rows, CAST(sum(l_linenumber) AS BIGINT) AS lines,
+ CAST(sum(l_partkey) AS BIGINT) AS parts, min(note) AS first_note, max(note) AS last_note FROM n GROUP BY 1""",
+    "landing_encodings": """WITH f AS (SELECT unnest(['configured', 'none']) AS fallback),
+n AS (SELECT *, 'Café à ' || c_name || ' ñ' AS name FROM customer, f WHERE fallback = 'configured' OR c_nationkey % 2 = 0)
+SELECT fallback, CAST(c_nationkey AS BIGINT) AS c_nationkey, count(*) AS n_rows, CAST(sum(c_custkey) AS BIGINT) AS keys,
+ min(name) AS first_name, max(name) AS last_name FROM n GROUP BY 1, 2""",
     "landing_rejects": """
 SELECT CASE WHEN event_id % 10 <> 0 AND event_id % 15 <> 5 THEN event_type END AS event_type,
  CASE WHEN event_id % 10 = 0 THEN event_id || ',' || event_type || ',EXTRA'

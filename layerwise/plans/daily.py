@@ -74,21 +74,23 @@ def landing_to_silver(
     that cannot be read now, leaves none behind.
     """
     source = layout.landing if paths is None else list(paths)
-    catalog = land.landing_catalog(spark, source, settings.expected_tables, date)
+    catalog = land.landing_catalog(
+        spark, source, settings.expected_tables, date, settings.fallback_encoding
+    )
     catalog = catalog.drop("modified_at")
     rows = catalog.collect()
-    layouts: dict[tuple[str, str | None, str, bool], list[str]] = {}
+    layouts: dict[tuple[str, str | None, str, bool, str], list[str]] = {}
     for row in rows:
         own = [(layers.PART_DATE, row.filedate), ("brand_slug", row.brand_slug), ("src_file", row.file_name)]
         layers.drop_partition(spark, f"{layout.silver}/{row.table_name}", own)
         layers.drop_partition(spark, f"{layout.logs}/landing_rejects/{row.table_name}", own)
         if row.valid:
-            key = (row.table_name, row.delimiter, row.header, row.multi_line)
+            key = (row.table_name, row.delimiter, row.header, row.multi_line, row.encoding)
             layouts.setdefault(key, []).append(row.path)
     by_table: dict[str, list[DataFrame]] = {}
-    for (table, delimiter, header, multi_line), same in layouts.items():
+    for (table, delimiter, header, multi_line, encoding), same in layouts.items():
         frame = land.read_landing(
-            spark, same, delimiter, header, multi_line=multi_line, reject_column=REJECT
+            spark, same, delimiter, header, multi_line=multi_line, reject_column=REJECT, encoding=encoding
         )
         by_table.setdefault(table, []).append(frame)
     for table, frames in by_table.items():

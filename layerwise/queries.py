@@ -118,10 +118,10 @@ def _read_all(spark: SparkSession, catalog: DataFrame, reject: str | None = None
     """The rows of all files of a landing catalog, one scan for each layout."""
     layouts: dict[tuple, list[str]] = {}
     for row in catalog.filter("valid").collect():
-        layouts.setdefault((row.delimiter, row.header, row.multi_line), []).append(row.path)
+        layouts.setdefault((row.delimiter, row.header, row.multi_line, row.encoding), []).append(row.path)
     frames = [
-        landing.read_landing(spark, paths, sep, header, multi_line=many, reject_column=reject)
-        for (sep, header, many), paths in layouts.items()
+        landing.read_landing(spark, paths, sep, header, multi_line=many, reject_column=reject, encoding=encoding)
+        for (sep, header, many, encoding), paths in layouts.items()
     ]
     return reduce(DataFrame.unionByName, frames)
 
@@ -148,6 +148,54 @@ def landing_roundtrip(spark, sf):
     )
 
 
+@query
+def large_csv_splits(spark, sf):
+    """All line items through large CSV files with a line end and quotes in every record, read in
+    splits: records are cut where they end, not where lines or splits do."""
+    folder = scratch_path(spark, "landing")
+    flags = F.concat(F.lit('5" pipe "'), "l_returnflag", F.lit('"\n,'), "l_linestatus")
+    note = F.when(F.col("l_linenumber") == 1, F.lit("one\ntwo")).otherwise(flags)
+    items = tb.load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", note.alias("l_note"), "l_partkey")
+    tb.deliver(items, folder, "Items", "20240131")
+    back = _read_all(spark, landing.landing_catalog(spark, folder, ["Items"]))
+    return back.groupBy(F.col("l_orderkey").cast("bigint").alias("l_orderkey")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.col("l_linenumber").cast("bigint")).alias("lines"),
+        F.sum(F.col("l_partkey").cast("bigint")).alias("parts"),
+        F.min("l_note").alias("first_note"),
+        F.max("l_note").alias("last_note"),
+    )
+
+
+@query
+def landing_encodings(spark, sf):
+    """Customer names in UTF-8 and in Latin-1: the files of the second kind are read by the
+    configured encoding, and rejected where there is none."""
+    folder = scratch_path(spark, "landing")
+    names_of = tb.load(spark, sf, "customer").select(
+        "c_custkey", F.concat(F.lit("Café à "), "c_name", F.lit(" ñ")).alias("name"), "c_nationkey"
+    )
+    latin = F.col("c_nationkey") % 2 == 1
+    tb.deliver(names_of.where(~latin), folder, "Modern", "20240131")
+    tb.deliver(names_of.where(latin), folder, "Old", "20240131", encoding="ISO-8859-1")
+    catalogs = {
+        "configured": landing.landing_catalog(spark, folder, ["Modern", "Old"], fallback_encoding="ISO-8859-1"),
+        "none": landing.landing_catalog(spark, folder, ["Modern", "Old"]),
+    }
+    reads = [
+        _read_all(spark, catalog).select(F.lit(mode).alias("fallback"), "name", "c_nationkey", "c_custkey")
+        for mode, catalog in catalogs.items()
+    ]
+    return reduce(DataFrame.unionByName, reads).groupBy(
+        "fallback", F.col("c_nationkey").cast("bigint").alias("c_nationkey")
+    ).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.col("c_custkey").cast("bigint")).alias("keys"),
+        F.min("name").alias("first_name"),
+        F.max("name").alias("last_name"),
+    )
+
+
 @query
 def landing_rejects(spark, sf):
     """Records with a field too many or too few are told from those that fit."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,10 +13,17 @@ from pyspark.sql import types as T
 from layerwise.functions.names import decode_file_name, parse_source_name, slugify
 from layerwise.operators.incremental import latest_file_per_group
 from layerwise.operators.schema import quoted
-from layerwise.session import local_frame
+from layerwise.session import local_frame, scratch_path
+from layerwise.sources.records import read_records
 
 DELIMITERS = (",", ";", "\t", "|", ":")
 SAMPLE_LINES = 5
+# Lines looked at to find the sample's records, which may span lines.
+HEAD_LINES = 40
+# Files that are read whole to see their first lines, and scans of larger ones in one job.
+SMALL_FILE = 1 << 20
+SCANS = 64
+UTF8 = "UTF-8"
 # Texts a CSV field may hold for "no value".
 NA_TEXTS = (
     "",
@@ -78,6 +86,66 @@ def file_inventory(
     )
 
 
+def head_lines(spark: SparkSession, files: Sequence[tuple[str, int]], n: int = HEAD_LINES) -> DataFrame:
+    """(file_path, __line_id, value) of the first ``n`` lines of files, given by path and size,
+    without reading on.
+
+    Files of up to ``SMALL_FILE`` bytes are read in one scan. Each larger one is a scan of its own
+    that stops at its limit, many of them in one job, so what is read follows the number of files
+    and not their size. The settings that keep a file in one piece are those of a session of its
+    own; the lines come back as a small table in the shared folder.
+    """
+    apart = spark.newSession()
+    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        apart.conf.set(key, str(1 << 40))
+    place = scratch_path(spark, "heads")
+    line_id = F.monotonically_increasing_id().alias("__line_id")
+
+    def keep(lines: DataFrame) -> None:
+        lines.select("file_path", line_id, "value").write.mode("append").parquet(place)
+
+    def scan(session: SparkSession, paths: Sequence[str]) -> DataFrame:
+        return session.read.text(list(paths)).select(F.col("_metadata.file_path").alias("file_path"), "value")
+
+    small = [path for path, size in files if 0 < size <= SMALL_FILE]
+    large = [path for path, size in files if size > SMALL_FILE]
+    for at in range(0, len(large), SCANS):
+        keep(reduce(DataFrame.unionByName, [scan(apart, [path]).limit(n) for path in large[at : at + SCANS]]))
+    if small or not large:
+        keep(scan(spark, small) if small else local_frame(spark, [], "file_path string, value string"))
+    return spark.read.schema("file_path string, __line_id bigint, value string").parquet(place)
+
+
+# A quote opens a field at a line's start or after a delimiter, and closes it before one.
+_COMPLETE = r'(^|[,;\t|:\x01])"[^"]*+(?:""[^"]*+)*+"(?!")'
+_OPEN = r'(^|[,;\t|:\x01])"'
+
+
+def leaves_open(line: Column) -> Column:
+    """Whether a line that starts outside of quotes ends within a quoted field."""
+    rest = F.regexp_replace(line, _COMPLETE, "$1")
+    return F.when(F.contains(line, F.lit('"')), F.regexp_like(rest, F.lit(_OPEN))).otherwise(False)
+
+
+def sample_records(samples: DataFrame, n: int = SAMPLE_LINES) -> DataFrame:
+    """Line samples as samples of the first ``n`` records: lines are joined while a quote is open,
+    and blank lines before the first record go."""
+    begun = F.filter("sample", lambda line, i: F.exists(F.slice("sample", F.lit(1), i + 1), lambda l: F.trim(l) != ""))
+    joined = F.aggregate(
+        begun,
+        F.struct(F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("open")),
+        lambda acc, line: _with_line(acc, F.concat_ws("\n", acc["open"], line)),
+        lambda acc: F.concat(acc["done"], F.array_compact(F.array(acc["open"]))),
+    )
+    return samples.withColumn("sample", F.slice(joined, 1, n))
+
+
+def _with_line(acc: Column, text: Column) -> Column:
+    goes_on = leaves_open(text)
+    done = F.when(goes_on, acc["done"]).otherwise(F.concat(acc["done"], F.array(text)))
+    return F.struct(done.alias("done"), F.when(goes_on, text).alias("open"))
+
+
 def first_lines(lines: DataFrame, file: str, order: Sequence[str], n: int = SAMPLE_LINES) -> DataFrame:
     """(file, sample array) of each file's first lines; map tasks pass on at most ``n`` per file."""
     rank = F.row_number().over(Window.partitionBy(file).orderBy(*order))
@@ -91,8 +159,8 @@ def sniff(samples: DataFrame, delimiters: Sequence[str] = DELIMITERS) -> DataFra
 
     The delimiter is the candidate found equally often in most sample lines, outside of
     quotes; ties go to the more frequent, then to the earlier candidate. A file without any
-    candidate in its first line has one column and no delimiter. A file that begins with a blank
-    line, or has no line, is not valid.
+    candidate in its first line has one column and no delimiter. A file without a line that is not
+    blank is not valid.
     """
     candidates = F.array(
         *[
@@ -149,11 +217,13 @@ def _is_text(line: Column) -> Column:
     return F.coalesce(F.trim(line) != "", F.lit(False))
 
 
-def open_quotes(lines: DataFrame, file: str) -> DataFrame:
-    """(file, multi_line): whether a line of the file leaves a quote open, so that a record may
-    go on in the next one."""
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return lines.groupBy(file).agg(F.bool_or(quotes % 2 == 1).alias("multi_line"))
+def line_flags(lines: DataFrame, file: str) -> DataFrame:
+    """(file, multi_line, utf8): whether a line of the file leaves a quoted field open, so that a
+    record may go on in the next one, and whether all of its bytes are UTF-8."""
+    return lines.groupBy(file).agg(
+        F.bool_or(leaves_open(F.col("value"))).alias("multi_line"),
+        F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
+    )
 
 
 def _header_votes() -> Column:
@@ -187,13 +257,15 @@ def landing_catalog(
     path: str | Sequence[str],
     expected: Sequence[str],
     date: str | None = None,
+    fallback_encoding: str | None = None,
 ) -> DataFrame:
     """One row per landing file to process: name parts, CSV format and whether it is expected.
 
     Names that do not parse are left out, and of files for the same brand, table and date only
-    the last delivered is kept. A date narrows the listing itself. ``multi_line`` tells the files
-    whose records may span lines. Sniffing reads the landing files as lines; five lines and one
-    flag per file and task are shuffled.
+    the last delivered is kept. A date narrows the listing itself. Formats are found in the first
+    lines of each file, and no more of it is read for them. One pass over the lines tells the files
+    whose records may span lines (``multi_line``) and those that are not UTF-8: these have the
+    ``fallback_encoding`` if there is one, and are not valid otherwise.
     """
     glob = csv_glob(date)
     files = file_inventory(spark, path, glob).withColumn("__name", parse_source_name(F.col("file_name")))
@@ -210,24 +282,22 @@ def landing_catalog(
     files = latest_file_per_group(
         files, ["brand", "table_name", "filedate"], ["modified_at", "file_name"]
     )
-    lines = (
-        spark.read.option("pathGlobFilter", glob)
-        .text(path)
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_block_start").alias("__block"),
-            F.monotonically_increasing_id().alias("__line_id"),
-        )
-    )
-    formats = sniff(first_lines(lines.filter("__block = 0"), "file_path", ["__line_id"])).drop("sample")
+    listed = [(row.path, row.file_size) for row in files.select("path", "file_size").collect()]
+    heads = first_lines(head_lines(spark, listed), "file_path", ["__line_id"], HEAD_LINES)
+    formats = sniff(sample_records(heads)).drop("sample")
+    lines = spark.read.option("pathGlobFilter", glob).text(path)
+    flags = line_flags(lines.select("value", F.col("_metadata.file_path").alias("file_path")), "file_path")
+    utf8 = F.coalesce("utf8", F.lit(True))
+    encoding = F.when(utf8, F.lit(UTF8)).otherwise(F.lit(fallback_encoding))
     return (
         files.join(formats, "file_path", "left")
-        .join(open_quotes(lines, "file_path"), "file_path", "left")
-        .withColumn("valid", F.coalesce("valid", F.lit(False)))
+        .join(flags, "file_path", "left")
+        .withColumn("encoding", encoding)
+        .withColumn("valid", F.coalesce("valid", F.lit(False)) & F.col("encoding").isNotNull())
         .withColumn("multi_line", F.coalesce("multi_line", F.lit(False)))
         .withColumn("brand_slug", slugify(F.col("brand")))
         .withColumn("expected", F.col("table_name").isin(list(expected)))
+        .drop("utf8")
     )
 
 
@@ -253,11 +323,13 @@ def read_landing(
     multi_line: bool = False,
     na_texts: Sequence[str] = NA_TEXTS,
     reject_column: str | None = None,
+    encoding: str = UTF8,
 ) -> DataFrame:
-    """Rows of CSV files that share a delimiter and header, with source and position columns.
+    """Rows of CSV files that share a delimiter, header and encoding, with source and position columns.
 
     All columns are text unless ``infer`` asks for a second pass to find types. Large files
-    are read in splits, except with ``multi_line``; without a delimiter a line is one field.
+    are read in splits, with ``multi_line`` too (``records.read_records``), but for ``infer`` with
+    it; without a delimiter a line is one field.
     Records with more or fewer fields than the header carry their text in ``reject_column``, and
     stop the job where none is named.
     """
@@ -267,6 +339,7 @@ def read_landing(
         .option("columnPruning", False)  # a record's fields are counted whatever is read of it
         .option("escape", '"')
         .option("multiLine", multi_line)
+        .option("encoding", encoding)
         .option("inferSchema", infer)
     )
     if not infer:
@@ -278,14 +351,14 @@ def read_landing(
             reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", reject_column)
         else:
             reader = reader.option("mode", "FAILFAST")
+        if multi_line:
+            return _from_records(spark, paths, delimiter, names, na_texts, reject_column, encoding)
         reader = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
     frame = reader.csv(list(paths))
     columns = []
     for item in frame.schema.fields:
-        value = quoted(item.name)
-        if isinstance(item.dataType, T.StringType) and item.name != reject_column:
-            value = F.when(~value.isin(list(na_texts)), value)
-        columns.append(value.alias(item.name))
+        text = isinstance(item.dataType, T.StringType) and item.name != reject_column
+        columns.append(_field(quoted(item.name), item.name, na_texts if text else ()))
     return frame.select(
         *columns,
         decode_file_name(F.col("_metadata.file_name")).alias("src_file"),
@@ -294,6 +367,32 @@ def read_landing(
     )
 
 
+def _field(value: Column, name: str, na_texts: Sequence[str]) -> Column:
+    return (F.when(~value.isin(list(na_texts)), value) if na_texts else value).alias(name)
+
+
+def _from_records(
+    spark: SparkSession,
+    paths: Sequence[str],
+    delimiter: str | None,
+    names: Sequence[str],
+    na_texts: Sequence[str],
+    reject_column: str | None,
+    encoding: str,
+) -> DataFrame:
+    """Rows of files whose records may span lines: records are cut split by split, then parsed one
+    by one. The first record of a file is its header."""
+    separator = delimiter or ONE_COLUMN
+    records = read_records(spark, paths, separator, encoding)
+    schema = ", ".join(f"`{name.replace('`', '``')}` STRING" for name in names)
+    options = {"sep": separator, "escape": '"', "mode": "PERMISSIVE" if reject_column else "FAILFAST"}
+    if reject_column:
+        options["columnNameOfCorruptRecord"] = reject_column
+    parsed = records.where("NOT first").withColumn("row", F.from_csv("record", schema, options))
+    columns = [_field(F.col("row")[name], name, () if name == reject_column else na_texts) for name in names]
+    return parsed.select(*columns, *POSITION)
+
+
 def raw_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Lines of files as they are, with their source and position."""
     return spark.read.text(list(paths)).select(
