@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from layerwise.session import scratch_path
 
-from .common import written
+from .common import by_size, written
 from .tokens import END_OF_DOCUMENT, encoder
 
 LENGTH = 1024
@@ -31,6 +31,8 @@ SHARD_ROWS = 1 << 15
 #: Sequences that are compressed together, and ids a task holds while it deals them to shards.
 BLOCK_ROWS = 128
 HELD_IDS = 1 << 25
+#: Characters of text encoded together.
+RUN = 1 << 21
 #: Steps of cycle walking.
 WALK = 64
 #: Two bytes of zeros end each record: the end-of-document id.
@@ -83,10 +85,11 @@ def token_blocks(docs: DataFrame, length: int = LENGTH, tokenizer: str | None =
     )
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer).flat_ids
+        encode = encoder(tokenizer).flat_batch
         squeeze = zstandard.ZstdCompressor(level=3).compress
         part = TaskContext.get().partitionId()
         open_ids, first, last, row = np.empty(0, dtype="<u2"), None, None, 0
+        end = np.full(1, END_OF_DOCUMENT, dtype="<u2")
         held: list[tuple] = []
 
         def block() -> pd.DataFrame:
@@ -112,12 +115,12 @@ def token_blocks(docs: DataFrame, length: int = LENGTH, tokenizer: str | None =
             held.append((len(ids), zlib.crc32(raw), first, last, raw))
 
         for frame in frames:
-            for doc_id, text in zip(frame["doc_id"], frame["text"]):
+            texts = (ids for run in by_size(frame["text"], RUN) for ids in encode(run))
+            for doc_id, ids in zip(frame["doc_id"], texts):
                 doc_id = None if pd.isna(doc_id) else int(doc_id)
-                ids = np.append(encode(text if isinstance(text, str) else ""), np.uint16(END_OF_DOCUMENT))
                 first = doc_id if not len(open_ids) else first
                 last = doc_id
-                ids = np.concatenate([open_ids, ids])
+                ids = np.concatenate([open_ids, ids, end])
                 whole = len(ids) // length * length
                 for start in range(0, whole, length):
                     hold(ids[start : start + length])

@@ -15,10 +15,14 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
 
 VOCABULARY = "byte_bpe_50k.json"
 END_OF_DOCUMENT = 0
 _MEETING_SPACES = re.compile(r"\s\s|\0")
+# Bytes of ASCII white space, and the first bytes of longer white-space characters.
+_SPACES = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])
+_MAYBE_SPACES = np.isin(np.arange(256), [0, 0xC2, 0xE1, 0xE2, 0xE3])
 
 
 def default_tokenizer() -> str:
@@ -81,9 +85,15 @@ class Encoder:
             import public_tokenizers
             import tiktoken
 
-            short = tiktoken.Encoding(
+            merges = tiktoken.Encoding(
                 "pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-            ).encode_ordinary
+            )
+
+            def short(piece: str) -> list[int]:
+                if piece[:1] == " " and piece[1:].isalpha():  # one piece to the pattern too
+                    return merges._encode_single_piece(piece)
+                return merges.encode_ordinary(piece)
+
         self.cache = IdCache(short, most_pieces)
 
     def whole(self, text: str) -> list[int]:
@@ -105,6 +115,44 @@ class Encoder:
         ids = np.frombuffer(self.ids(text), dtype="<u4")
         return np.where(ids == END_OF_DOCUMENT, self.spare, ids).astype("<u2")
 
+    def flat_batch(self, texts: list[str]) -> list[np.ndarray]:
+        """``flat_ids`` of each text. The texts are cut as one run of bytes, and each distinct piece
+        of them is looked up once."""
+        data = [t.encode() for t in texts]
+        sizes = np.array([len(d) for d in data], dtype=np.int64)
+        stops = np.cumsum(sizes)
+        raw = np.frombuffer(b"".join(data), dtype=np.uint8)
+        space = _SPACES[raw]
+        text_at = np.zeros(len(raw), dtype=bool)
+        text_at[(stops - sizes)[sizes > 0]] = True
+        meeting = np.flatnonzero(space[1:] & space[:-1] & ~text_at[1:])
+        apart = set(np.searchsorted(stops, meeting, "right").tolist())
+        doubtful = set(np.searchsorted(stops, np.flatnonzero(_MAYBE_SPACES[raw]), "right").tolist())
+        apart |= {k for k in doubtful - apart if _MEETING_SPACES.search(texts[k])}
+        line_end = raw == 10
+        begins = text_at | (raw == 32) | line_end
+        begins[1:] |= line_end[:-1]
+        starts = np.flatnonzero(begins)
+        pieces = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(raw))), pa.py_buffer(raw)]
+        ).dictionary_encode()
+        found = [self.cache[p.decode()] for p in pieces.dictionary.to_pylist()]
+        pool = np.frombuffer(b"".join(found), dtype="<u4")
+        pool = np.where(pool == END_OF_DOCUMENT, self.spare, pool).astype("<u2")
+        size = np.array([len(f) // 4 for f in found], dtype=np.int64)
+        start = np.cumsum(size) - size
+        codes = pieces.indices.to_numpy(zero_copy_only=False)
+        sizes_of = size[codes] if len(codes) else np.zeros(0, dtype=np.int64)
+        ends = np.cumsum(sizes_of)
+        take = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start[codes] - (ends - sizes_of), sizes_of)
+        ids = pool[take]
+        last_piece = np.searchsorted(starts, stops, "left")  # pieces before each text's end
+        bounds = np.append(0, ends)[last_piece]
+        out = [ids[a:b] for a, b in zip(np.append(0, bounds[:-1]), bounds)]
+        for k in apart:
+            out[k] = self.flat_ids(texts[k])
+        return out
+
     def restored(self, flat: np.ndarray) -> np.ndarray:
         """The tokenizer's ids of one document's ids from a flat file, its end left out."""
         return np.where(flat == self.spare, END_OF_DOCUMENT, flat)

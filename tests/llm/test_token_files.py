@@ -167,3 +167,14 @@ def test_order_query(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()
     assert sum(r["n_ids"] for r in index) == sum(len(ids_of(r["text"])) + 1 for r in docs)
     assert sorted(r["slot"] for r in index) == list(range(len(index)))
+
+
+def test_texts_encoded_in_one_run():
+    texts = ["", "a", "  two", "x\n\ny", "tab\tb", "e  b", "  x", "a 　b", "\0 q", "new\nline end\n", "\n", " ",
+             "ü ß. the, end.", "日本 語", "! a ! b", "don't we'll", "x" * 3000]
+    coder = encoder()
+    for k in range(len(texts)):
+        turned = texts[k:] + texts[:k]
+        for text, ids in zip(turned, coder.flat_batch(turned)):
+            assert np.array_equal(ids, coder.flat_ids(text)), text
+    assert coder.flat_batch([]) == []
