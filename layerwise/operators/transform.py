@@ -8,12 +8,13 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException, ParseException
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerwise.functions.casts import to_float
 from layerwise.operators.dedup import order_value, splittable_equal
+from layerwise.operators.selection import exact_medians
 from layerwise.session import lenient
 
 
@@ -100,7 +101,8 @@ def config_aggregate(
                 chosen.append(_aggregate(df, column, name, order).alias(alias))
     # ends sort their input by key, so they are kept out of the hash aggregate of the others
     parts = [df.groupBy(*keys).agg(*group) for group in (plain, ends) if group]
-    parts += [exact_median(df, keys, column, alias) for column, alias in medians]
+    if medians:
+        parts.append(exact_medians(df, keys, {alias: _present(df, column) for column, alias in medians}))
     # every group has a size, while a group of missing values only has no median
     first = parts[0] if plain or ends else df.select(*keys).distinct()
     rest = parts[1:] if plain or ends else parts
@@ -161,55 +163,13 @@ def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return left.join(renamed, condition, how).drop(*[f"__r_{key}" for key in keys])
 
 
-def _sent_if_few(groups: DataFrame, most: int) -> DataFrame:
-    """Rows of an aggregate, computed once and marked for broadcast, if there are few."""
-    found = groups.limit(most + 1).toArrow() if most else None
-    if found is None or found.num_rows > most:
-        return groups
-    return F.broadcast(groups.sparkSession.createDataFrame(found, groups.schema))
-
-
 def exact_median(
     df: DataFrame,
     keys: Sequence[str],
     column: str,
     alias: str,
-    accuracy: int = 10_000,
+    accuracy: int = 1_000,
     broadcast_groups: int = 100_000,
 ) -> DataFrame:
-    """Exact median per key without gathering a group's values in one place.
-
-    A mergeable quantile sketch brackets the middle, then counts per value inside the bracket
-    (everything below it is one count) give the exact middle ranks. The bracket holds about
-    ``4 / accuracy`` of a group's rows, so even a group with a third of all rows stays small.
-    A bracket that misses the middle raises instead of giving a wrong value. Brackets of up to
-    ``broadcast_groups`` groups are sent to the values, so that only counts are shuffled; more
-    are joined.
-    """
-    values = df.select(*keys, _present(df, column).alias("__v")).filter("__v IS NOT NULL")
-    margin = 2.0 / accuracy
-    sketch = F.percentile_approx("__v", [0.5 - margin, 0.5 + margin], accuracy)
-    brackets = values.groupBy(*keys).agg(sketch.alias("__p"), F.count(F.lit(1)).alias("__total"))
-    placed = _join_on(values, _sent_if_few(brackets, broadcast_groups), keys, "inner")
-    below = F.col("__v") < F.col("__p")[0]
-    inside = ~below & (F.col("__v") <= F.col("__p")[1])
-    counts = (
-        placed.select(*keys, "__total", below.alias("__below"), inside.alias("__inside"), "__v")
-        .filter("__below OR __inside")
-        .groupBy(*keys, "__total", "__below", F.when(F.col("__inside"), F.col("__v")).alias("__v"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
-    running = Window.partitionBy(*keys).orderBy(F.col("__below").desc(), "__v")
-    upto = F.sum("__n").over(running.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = counts.withColumn("__upto", upto)
-
-    def value_at(rank: Column) -> Column:
-        hit = ~F.col("__below") & (F.col("__upto") - F.col("__n") < rank) & (rank <= F.col("__upto"))
-        return F.max(F.when(hit, F.col("__v")))
-
-    low = F.expr("(__total + 1) div 2")
-    high = F.expr("(__total + 2) div 2")
-    middle = ranked.groupBy(*keys).agg(value_at(low).alias("__lo"), value_at(high).alias("__hi"))
-    half = (F.col("__lo").cast("double") + F.col("__hi").cast("double")) / 2
-    missed = F.raise_error(F.lit("median bracket missed the middle; raise accuracy"))
-    return middle.select(*keys, F.when(half.isNotNull(), half).otherwise(missed).alias(alias))
+    """Exact median per key without gathering a group's values in one place (``selection``)."""
+    return exact_medians(df, keys, {alias: _present(df, column)}, accuracy, broadcast_groups)

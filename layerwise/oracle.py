@@ -184,6 +184,23 @@ SELECT event_type AS table_name, CAST(sum(1 + CAST(contains(line, chr(10)) AS IN
     "redelivery": """
 SELECT count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS id_sum, CAST(1 AS BIGINT) AS n_tables
 FROM events WHERE event_id % 2 = 0""",
+    "silver_swap": """WITH r AS (SELECT 'file ' || (user_id % 10) AS src_file, event_id FROM events),
+s AS (SELECT unnest(['staged', 'committed', 'merged']) AS state)
+SELECT state, src_file, CAST(CASE WHEN state <> 'staged' AND src_file < 'file 5' THEN 1 ELSE 0 END AS INT) AS edition,
+ count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS id_sum FROM r, s
+WHERE state = 'staged' OR src_file >= 'file 5' OR event_id % 3 = 0 GROUP BY 1, 2, 3""",
+    "force_rerun": """WITH r AS (SELECT * FROM (VALUES ('first', 'SUCCESS'), ('again', 'ALREADY_PROCESSED'), ('forced', 'SUCCESS')) v(run, status)),
+l AS (SELECT unnest(['silver', 'gold', 'target']) AS layer)
+SELECT run, status, layer, event_type, count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS id_sum, CAST(2 AS BIGINT) AS n_runs
+FROM events, r, l GROUP BY ALL""",
+    "target_load": _d(
+        """, o AS (SELECT *, CASE WHEN user_ref = 'abc' OR start_date = 'not-a-date' THEN 'rejected' ELSE 'loaded' END AS outcome FROM d)
+SELECT outcome, nullif(kind, '') AS kind, count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS id_sum,
+ CAST(sum(CASE WHEN outcome = 'loaded' THEN try_cast(user_ref AS BIGINT) END) AS BIGINT) AS ref_sum,
+ CASE WHEN outcome = 'loaded' THEN count(start_date) END AS n_dates,
+ (SELECT count(*) FROM o WHERE outcome = 'loaded') AS n_loaded
+FROM o GROUP BY outcome, nullif(kind, '')"""
+    ),
     "stream_roundtrip": """
 SELECT event_type, count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events GROUP BY event_type""",
     "failed_runs": f"""WITH {_LEDGER}, s AS (SELECT filedate, arg_max(status, processed_at) AS status,

@@ -22,7 +22,7 @@ from layerwise.operators.rules import check_rules, parse_rules
 from layerwise.operators.schema import quoted
 from layerwise.session import local_frame
 from layerwise.sources import landing as land
-from layerwise.sources import layers
+from layerwise.sources import layers, versions
 
 REJECT = "src_reject"
 NO_DATA, FAILED = "NO_DATA", "FAILED"
@@ -69,9 +69,10 @@ def landing_to_silver(
     The catalog, one small row per file, is the only thing the driver collects, as it does for
     any file listing. Files of a table with the same layout are read in one scan, so the number
     of scans follows the number of layouts, not of files. Records that do not fit their header
-    are kept in ``landing_rejects``, files that cannot be read in ``file_rejects``. What earlier
-    deliveries of the catalog's files left in silver goes first, so a file without rows, or one
-    that cannot be read now, leaves none behind.
+    are kept in ``landing_rejects``, files that cannot be read in ``file_rejects``. A table's
+    silver is staged first; what earlier deliveries of its files left gives way to it in one step,
+    so that a file without rows, or one that cannot be read now, leaves none behind, and a run
+    that breaks off changes nothing.
     """
     source = layout.landing if paths is None else list(paths)
     catalog = land.landing_catalog(
@@ -79,26 +80,26 @@ def landing_to_silver(
     )
     catalog = catalog.drop("modified_at")
     rows = catalog.collect()
+    files = local_frame(spark, rows, catalog.schema)
     layouts: dict[tuple[str, str | None, str, bool, str], list[str]] = {}
     for row in rows:
-        own = [(layers.PART_DATE, row.filedate), ("brand_slug", row.brand_slug), ("src_file", row.file_name)]
-        layers.drop_partition(spark, f"{layout.silver}/{row.table_name}", own)
-        layers.drop_partition(spark, f"{layout.logs}/landing_rejects/{row.table_name}", own)
         if row.valid:
             key = (row.table_name, row.delimiter, row.header, row.multi_line, row.encoding)
             layouts.setdefault(key, []).append(row.path)
-    by_table: dict[str, list[DataFrame]] = {}
+    by_table: dict[str, list[DataFrame]] = {row.table_name: [] for row in rows}
     for (table, delimiter, header, multi_line, encoding), same in layouts.items():
         frame = land.read_landing(
             spark, same, delimiter, header, multi_line=multi_line, reject_column=REJECT, encoding=encoding
         )
-        by_table.setdefault(table, []).append(frame)
+        by_table[table].append(frame)
     for table, frames in by_table.items():
-        _write_silver(spark, layout, table, schema.harmonized_union(frames))
+        own = files.filter(F.col("table_name") == table).select(
+            F.col("filedate").alias(versions.PART_DATE), F.col("file_name").alias(versions.SOURCE)
+        )
+        _write_silver(spark, layout, table, schema.harmonized_union(frames) if frames else None, own)
     valid_paths = [path for same in layouts.values() for path in same]
     if copy_raw and valid_paths:
         layers.write_raw(_with_partitions(land.raw_lines(spark, valid_paths)), layout.raw)
-    files = local_frame(spark, rows, catalog.schema)
     unread = [row for row in rows if not row.valid]
     if unread:
         rejected = local_frame(spark, unread, catalog.schema).select(
@@ -111,23 +112,28 @@ def landing_to_silver(
     return files
 
 
-def _write_silver(spark: SparkSession, layout: Layout, table: str, rows: DataFrame) -> None:
-    """Records that fit go to silver; the others, if the scan met any, to ``landing_rejects``."""
-    met = Observation()
-    seen = rows.observe(met, F.count_if(F.col(REJECT).isNotNull()).alias("n"))
-    silver = _with_partitions(seen.filter(F.col(REJECT).isNull()).drop(REJECT))
-    layers.write_partitioned(silver, f"{layout.silver}/{table}", layers.FILE_PARTITIONS, rebalance=False)
-    if met.get["n"]:
-        rejects = _with_partitions(rows.filter(F.col(REJECT).isNotNull()))
+def _write_silver(
+    spark: SparkSession, layout: Layout, table: str, rows: DataFrame | None, files: DataFrame
+) -> None:
+    """Records that fit go to silver; the others, if the scan met any, to ``landing_rejects``.
+    Both replace at once what is there of ``files``."""
+    silver, rejected = f"{layout.silver}/{table}", f"{layout.logs}/landing_rejects/{table}"
+    version = versions.new_version()
+    any_rejects = False
+    if rows is not None:
+        met = Observation()
+        seen = rows.observe(met, F.count_if(F.col(REJECT).isNotNull()).alias("n"))
+        versions.stage(_with_partitions(seen.filter(F.col(REJECT).isNull()).drop(REJECT)), silver, version)
+        any_rejects = bool(met.get["n"])
+    if any_rejects:
+        odd = _with_partitions(rows.filter(F.col(REJECT).isNotNull()))
         fields = [quoted(c) for c in rows.columns if c != REJECT and c not in land.POSITION]
         values = F.size(F.array_compact(F.array(*fields))).alias("n_values")
         own = [F.col(REJECT).alias("record"), values, "src_block", "src_row", *layers.FILE_PARTITIONS]
-        layers.write_partitioned(
-            rejects.select(*own),
-            f"{layout.logs}/landing_rejects/{table}",
-            layers.FILE_PARTITIONS,
-            rebalance=False,
-        )
+        versions.stage(odd.select(*own), rejected, version)
+    if any_rejects or versions.file_versions(spark, rejected) is not None:
+        versions.commit(spark, rejected, version, files)
+    versions.commit(spark, silver, version, files)
 
 
 def _with_partitions(df: DataFrame) -> DataFrame:
@@ -152,7 +158,7 @@ def silver_to_gold(
 
     ``files``, the catalog of the date, lets files without rows appear in the log.
     """
-    silver = layers.read_layer(spark, layout.silver, table, date)
+    silver = versions.read_current(spark, f"{layout.silver}/{table}", date)
     if silver is None:
         layers.drop_partition(spark, f"{layout.gold}/{table}", [(layers.PART_DATE, date)])
         return None
@@ -195,7 +201,7 @@ def silver_to_gold_configured(
     Settings: ``filter_conditions``, ``key_columns`` with ``aggregate_columns``, and
     ``partition_columns`` below the date. Returns what was done.
     """
-    silver = layers.read_layer(spark, layout.silver, table, date)
+    silver = versions.read_current(spark, f"{layout.silver}/{table}", date)
     if silver is None:
         return None
     declared = columns_from(layout.schemas, table)
@@ -294,7 +300,8 @@ def _load(
 ) -> tuple[int, DataFrame | None]:
     """Load the rows whose values fit the target's types; the others are kept in ``load_rejects``.
 
-    Returns the rows loaded and, where any were turned away, their number per brand.
+    Returns the rows loaded and, where any were turned away, their number per brand, which a target
+    without a brand cannot tell.
     """
     place = (f"{layout.logs}/load_rejects/{table}", [(layers.PART_DATE, date)])
     layers.drop_partition(spark, *place)
@@ -309,6 +316,8 @@ def _load(
         return number, None
     rejected = load.rejected.withColumn(layers.PART_DATE, F.lit(date))
     layers.write_partitioned(rejected, place[0], [layers.PART_DATE])
+    if "BRAND" not in load.rejected.columns:
+        return number, None
     per_brand = load.rejected.groupBy(F.col("BRAND").alias("__brand"))
     return number, per_brand.agg(F.count(F.lit(1)).alias("rows_rejected"))
 

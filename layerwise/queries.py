@@ -24,8 +24,8 @@ from layerwise.operators import (
 )
 from layerwise.operators.rules import Checked, check_rules, parse_rules, rule_frame
 from layerwise.plans import daily
-from layerwise.session import scratch_path
-from layerwise.sources import landing, layers
+from layerwise.session import local_frame, scratch_path
+from layerwise.sources import landing, layers, versions
 from layerwise.streaming import arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -249,22 +249,31 @@ def raw_copy(spark, sf):
     )
 
 
+def _flow(spark: SparkSession) -> daily.Layout:
+    root = scratch_path(spark, "flow")
+    return daily.Layout(*[f"{root}/{part}" for part in ("landing", "raw", "silver", "gold", "logs")], {}, {}, {})
+
+
+def _files(df: DataFrame) -> int:
+    """As many files as the scan of a table has tasks, four at least."""
+    return max(4, df.rdd.getNumPartitions())
+
+
 @query
 def redelivery(spark, sf):
-    """Files delivered twice, then one of them without rows: silver holds the last state."""
-    root = scratch_path(spark, "flow")
-    layout = daily.Layout(
-        *[f"{root}/{part}" for part in ("landing", "raw", "silver", "gold", "logs")], {}, {}, {}
-    )
+    """Files delivered twice, then those of one table without rows: silver holds the last state."""
+    layout = _flow(spark)
     settings = Settings(expected_tables=("Events", "Users"))
     events = tb.load(spark, sf, "events").select("event_id", "user_id")
+    number = _files(events)
     for share in (events, events.filter("event_id % 2 = 0")):
-        tb.deliver(share.coalesce(1), layout.landing, "Events", "20240131")
-        tb.deliver(share.coalesce(1), layout.landing, "Users", "20240131")
+        dealt = share.repartition(number, "event_id")
+        tb.deliver(dealt, layout.landing, "Events", "20240131")
+        delivered = tb.deliver(dealt, layout.landing, "Users", "20240131")
         daily.landing_to_silver(spark, layout, settings, "20240131", copy_raw=False)
-    tb.deliver(events.filter("false").coalesce(1), layout.landing, "Users", "20240131")
+    tb.deliver_headers(spark, layout.landing, delivered, "event_id,user_id")
     daily.landing_to_silver(spark, layout, settings, "20240131", copy_raw=False)
-    back = [layers.read_layer(spark, layout.silver, t, "20240131") for t in settings.expected_tables]
+    back = [versions.read_current(spark, f"{layout.silver}/{t}", "20240131") for t in settings.expected_tables]
     counts = [
         frame.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("event_id").cast("bigint")).alias("id_sum"))
         for frame in back
@@ -273,6 +282,94 @@ def redelivery(spark, sf):
     return reduce(DataFrame.unionByName, counts).withColumn("n_tables", F.lit(len(counts)).cast("bigint"))
 
 
+@query
+def silver_swap(spark, sf):
+    """Rows of a table through three versions: all, then other values for half of the files, staged
+    and only then committed, then merged. A staged version is not read; of replaced files only the
+    last version is."""
+    place = scratch_path(spark, "silver")
+    events = tb.load(spark, sf, "events")
+    rows = events.select(
+        F.replace(F.col("ts").cast("date").cast("string"), F.lit("-"), F.lit("")).alias("part_date"),
+        F.concat(F.lit("file "), F.col("user_id") % 10).alias("src_file"),
+        "event_id",
+        F.lit(0).alias("edition"),
+    )
+    files = rows.select("part_date", "src_file")
+    first, second = versions.new_version(), versions.new_version()
+    versions.stage(rows, place, first)
+    versions.commit(spark, place, first, files)
+    again = rows.where("src_file < 'file 5'").withColumn("edition", F.lit(1))
+    versions.stage(again.where("event_id % 3 = 0"), place, second)
+    states = [("staged", _silver_state(spark, place))]
+    versions.commit(spark, place, second, again.select("part_date", "src_file"))
+    states.append(("committed", _silver_state(spark, place)))
+    day = rows.agg(F.min("part_date")).first()[0]
+    versions.merge_versions(spark, place, day)
+    states.append(("merged", _silver_state(spark, place)))
+    return reduce(DataFrame.unionByName, [df.withColumn("state", F.lit(state)) for state, df in states])
+
+
+def _silver_state(spark: SparkSession, place: str) -> DataFrame:
+    found = versions.read_current(spark, place)
+    return found.groupBy("src_file", "edition").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("event_id").alias("id_sum"))
+
+
+def _own_target(spark: SparkSession, table: str) -> Settings:
+    """Settings whose target of the table is a fresh catalog table."""
+    target = f"layerwise_{scratch_path(spark, table).rsplit('-', 1)[-1]}"
+    return Settings(expected_tables=(table,), target_names={table: target}, dedup_keys={})
+
+
+@query
+def force_rerun(spark, sf):
+    """A date run once, run again, and run again by force: the forced run does all of the work over
+    and leaves the same rows in silver, gold and target."""
+    layout, settings = _flow(spark), _own_target(spark, "Events")
+    events = tb.load(spark, sf, "events").select("event_id", "event_type", "user_id")
+    tb.deliver(events, layout.landing, "Events", "20240131")
+    target = f"{layout.target_schema}.{settings.target_of('Events')}"
+    found = []
+    for run, force in (("first", False), ("again", False), ("forced", True)):
+        status = daily.run_date(spark, layout, settings, "20240131", force=force)
+        silver = versions.read_current(spark, f"{layout.silver}/Events", "20240131")
+        frames = {"silver": silver, "gold": layers.read_layer(spark, layout.gold, "Events", "20240131"), "target": spark.table(target)}
+        for layer, frame in frames.items():
+            counts = frame.groupBy("event_type").agg(F.count(F.lit(1)), F.sum(F.col("event_id").cast("bigint")))
+            found += [(run, status, layer, *row) for row in counts.collect()]  # one a type
+    runs = layers.read_log(spark, layout.logs, "ledger").where("table_name IS NULL AND status = 'success'").count()
+    spark.sql(f"DROP TABLE {target}")
+    schema = "run string, status string, layer string, event_type string, n_rows bigint, id_sum bigint"
+    return local_frame(spark, found, schema).withColumn("n_runs", F.lit(runs).cast("bigint"))
+
+
+@query
+def target_load(spark, sf):
+    """All dirty events through landing, silver and gold into a typed target: rows whose values do
+    not fit its types are kept as rejects, the others are loaded, and the gold log counts both."""
+    layout, settings = _flow(spark), _own_target(spark, "Events")
+    events = tb.dirty_events(spark, sf).select("event_id", "user_ref", "kind", "start_date")
+    tb.deliver(events, layout.landing, "Events", "20240131")
+    daily.landing_to_silver(spark, layout, settings, "20240131", copy_raw=False)
+    daily.silver_to_gold(spark, layout, "Events", "20240131")
+    target = f"{layout.target_schema}.{settings.target_of('Events')}"
+    spark.sql(
+        f"CREATE TABLE {target} (EVENT_ID BIGINT, USER_REF BIGINT, KIND STRING, START_DATE DATE, "
+        "BRAND STRING, FILEDATE STRING, PART_DATE STRING) USING parquet PARTITIONED BY (PART_DATE)"
+    )
+    loaded = daily.gold_to_target(spark, layout, settings, "Events", "20240131")
+    rows = spark.table(target).groupBy("KIND").agg(
+        F.count(F.lit(1)), F.sum("EVENT_ID"), F.sum("USER_REF"), F.count("START_DATE")
+    )
+    found = [("loaded", *row) for row in rows.collect()]  # one a kind
+    rejects = spark.read.parquet(f"{layout.logs}/load_rejects/Events")
+    turned = rejects.groupBy("KIND").agg(F.count(F.lit(1)), F.sum(F.col("EVENT_ID").cast("bigint")))
+    found += [("rejected", *row, None, None) for row in turned.collect()]
+    spark.sql(f"DROP TABLE {target}")
+    schema = "outcome string, kind string, n_rows bigint, id_sum bigint, ref_sum bigint, n_dates bigint"
+    return local_frame(spark, found, schema).withColumn("n_loaded", F.lit(loaded).cast("bigint"))
+
+
 @query
 def stream_roundtrip(spark, sf):
     """All events as arriving files, streamed to gold."""

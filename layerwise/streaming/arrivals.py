@@ -51,7 +51,9 @@ def stream_to_gold(
 ) -> StreamingQuery:
     """Bring newly landed files to gold, then stop: one ``availableNow`` run.
 
-    With ``load`` the touched table dates go on to their targets, each with its ledger entry.
+    With ``load`` the touched table dates go on to their targets, each with its ledger entry. A
+    table date of which a file cannot be read is entered as failed, with or without ``load``; the
+    file's next delivery makes another entry.
     The raw log of a touched brand and date covers all its files in the landing folder, those
     of earlier micro-batches too.
 
@@ -73,12 +75,12 @@ def stream_to_gold(
         session = batch.sparkSession
         files = landing_to_silver(session, layout, settings, paths=paths, log_raw=False)
         _log_raw(session, layout, settings, files)
-        touched = files.filter("valid").select("table_name", "filedate").distinct().collect()
-        for table, date in touched:
+        touched = files.groupBy("table_name", "filedate").agg(F.bool_and("valid").alias("readable"))
+        for table, date, readable in touched.collect():
             silver_to_gold(session, layout, table, date, files)
-            if load:
-                number = gold_to_target(session, layout, settings, table, date)
-                status = "no_data" if number is None else "success"
+            number = gold_to_target(session, layout, settings, table, date) if load else None
+            if load or not readable:
+                status = "failed" if not readable else "no_data" if number is None else "success"
                 layers.append_log(ledger_entry(session, date, status, table), layout.logs, "ledger")
 
     return (

@@ -152,6 +152,16 @@ def deliver(df: DataFrame, landing: str, table: str, date: str, **options: objec
     return names
 
 
+def deliver_headers(spark: SparkSession, landing: str, names: list[str], header: str) -> None:
+    """Files of these names that hold a header and no row."""
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    for name in names:
+        place = paths(f"{landing}/{name}")
+        out = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, True)
+        out.writeBytes(header + "\n")
+        out.close()
+
+
 def event_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event read as a ledger entry for its type on its day."""
     day = F.replace(F.col("ts").cast("date").cast("string"), F.lit("-"), F.lit(""))

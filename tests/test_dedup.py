@@ -10,7 +10,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from layerwise.operators import dedup, enrich, merge, transform
+from layerwise.operators import dedup, enrich, merge, selection, transform
 
 pairs = st.lists(
     st.tuples(st.sampled_from(["a", "b", None]), st.sampled_from([1, 2, None])), max_size=25
@@ -144,6 +144,8 @@ def test_hot_key_is_split_in_an_update(spark, shuffle_joins):
 
 def test_hot_key_is_split_in_a_median(spark, shuffle_joins):
     values = hot_frame(spark).select("k", F.col("id").alias("v"), "pad")
+    stacked = values.select("k", F.lit(0).alias("__c"), F.col("v").cast("double").alias("__v"), "pad")
+    state = selection._start(stacked, ["k", "__c"], 1000)
+    assert "skew=true" in final_plan(selection.level(stacked, state, ["k", "__c"]).select("k", "lo", "hi"))
     out = transform.exact_median(values, ["k"], "v", "m", broadcast_groups=0)
-    assert "skew=true" in final_plan(out)
     assert out.filter("k = 'hot'").first().m == 29_998.5

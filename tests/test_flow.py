@@ -20,7 +20,7 @@ from layerwise.plans.daily import (
     silver_to_gold_configured,
 )
 from layerwise.sources import landing as land
-from layerwise.sources import layers
+from layerwise.sources import layers, versions
 
 BRANDS = {
     "brands": [
@@ -114,7 +114,7 @@ def test_catalog_lists_what_can_be_processed(spark, layout, settings):
 
 def test_landing_to_target(spark, layout, settings):
     files = landing_to_silver(spark, layout, settings, "20250416")
-    silver = layers.read_layer(spark, layout.silver, "Device", "20250416")
+    silver = versions.read_current(spark, f"{layout.silver}/Device", "20250416")
     assert silver.count() == 6
     assert rows(silver.filter("src_brand = 'North TV'").select("UserId", "Model", "OS")) == [
         ("1", "box", None),
@@ -302,13 +302,13 @@ def test_records_that_do_not_fit_are_kept_as_rejects(spark, layout, settings):
     )
     put(layout, "Arts+ West_Smartcard_20250502.csv", "SmartcardId\nc1\nc2\n")
     run_date(spark, layout, settings, "20250502")
-    silver = layers.read_layer(spark, layout.silver, "Device", "20250502")
+    silver = versions.read_current(spark, f"{layout.silver}/Device", "20250502")
     assert rows(silver.select("UserId", "Serial")) == [("1", "A"), ("4", "D\nd"), ("5", "E")]
     rejects = spark.read.parquet(f"{layout.logs}/landing_rejects/Device")
     assert rows(rejects.select("record", "src_file")) == [
         ("2,B,EXTRA", "North TV_Device_20250502.csv"), ("3", "North TV_Device_20250502.csv"),
     ]
-    cards = layers.read_layer(spark, layout.silver, "Smartcard", "20250502")
+    cards = versions.read_current(spark, f"{layout.silver}/Smartcard", "20250502")
     assert rows(cards.select("SmartcardId")) == [("c1",), ("c2",)]
 
 

@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from layerwise.operators import transform
+from layerwise.operators import selection, transform
 
 
 @pytest.fixture
@@ -118,23 +118,44 @@ def test_non_empty(spark):
     assert rows(transform.non_empty(df, "s")) == [("a",)]
 
 
+def _level_of(values, groups):
+    ids = ["k", "__c"]
+    stacked = values.select("k", F.lit(0).alias("__c"), F.col("v").cast("double").alias("__v"))
+    state = selection._start(stacked, ids, 1000)
+    return selection.level(stacked, F.broadcast(state) if groups else state, ids)
+
+
 def test_median_shuffles_counts_only(spark, tmp_path):
-    """No exchange lies between the scan of the values and the first aggregate above the join."""
+    """No exchange lies between the scan of the values and the first aggregate above the join, and
+    no level gathers a group in a window."""
     spark.range(1000).selectExpr("id % 7 k", "cast(id * 37 % 101 as double) v").write.parquet(str(tmp_path / "v"))
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        out = transform.exact_median(spark.read.parquet(str(tmp_path / "v")), ["k"], "v", "m")
-        plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
-        many = transform.exact_median(
-            spark.read.parquet(str(tmp_path / "v")), ["k"], "v", "m", broadcast_groups=0
-        )
-        assert rows(out) == rows(many)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    join = next(i for i, line in enumerate(plan) if "BroadcastHashJoin" in line)
-    scan = next(i for i, line in enumerate(plan) if "FileScan" in line)
-    assert not [line for line in plan[join:scan] if "Exchange hashpartitioning" in line]
+    plan = _level_of(spark.read.parquet(str(tmp_path / "v")), 1)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    join = next(i for i, line in enumerate(lines) if "BroadcastHashJoin" in line)
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line)
+    assert not [line for line in lines[join:scan] if "Exchange hashpartitioning" in line]
+    assert "Window" not in plan and "partial_count" in plan
+    values = spark.read.parquet(str(tmp_path / "v"))
+    few, many = (transform.exact_median(values, ["k"], "v", "m", broadcast_groups=n) for n in (100, 0))
+    assert rows(few) == rows(many)
+
+
+@pytest.mark.parametrize("bins", [4, 512])
+def test_medians_of_odd_distributions(spark, bins):
+    """Powers over the whole range, infinities, ties, signed zeros and NULL keys; several columns."""
+    wide = [math.ldexp(1.0, e) for e in range(-1070, 1020, 90)] + [-math.ldexp(1.0, e) for e in range(-1000, 1000, 200)]
+    groups = {
+        "wide": wide, "inf": [math.inf, -math.inf, math.inf, 1.7e308], "ends": [-1.7e308, 1.7e308, 1.6e308, -1.6e308],
+        "ties": [1.0] * 50 + [2.0] * 50, "near": [1.0, 1.0 + 2**-52, 1.0 + 2**-51, 1.0 + 2**-50],
+        "zero": [0.0, -0.0, 5e-324], "one": [7.0], None: [3.0, 4.0],
+    }
+    data = [(k, v, -v) for k, vs in groups.items() for v in vs] + [("none", None, None)]
+    df = spark.createDataFrame(data, "k string, v double, w double").repartition(3)
+    found = {r.k: (r.m, r.n) for r in selection.exact_medians(df, ["k"], {"m": F.col("v"), "n": F.col("w")}, bins=bins).collect()}
+    for key, vs in groups.items():
+        half = sorted(vs)[(len(vs) - 1) // 2] / 2 + sorted(vs)[len(vs) // 2] / 2
+        assert found[key] == (pytest.approx(half, rel=1e-12, abs=0), pytest.approx(-half, rel=1e-12, abs=0)), key
+    assert set(found) == set(groups)
 
 
 def test_aggregates_that_cannot_be(spark):
