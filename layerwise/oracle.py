@@ -184,6 +184,14 @@ SELECT event_type AS table_name, CAST(sum(1 + CAST(contains(line, chr(10)) AS IN
     "redelivery": """
 SELECT count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS id_sum, CAST(1 AS BIGINT) AS n_tables
 FROM events WHERE event_id % 2 = 0""",
+    "upsert_files": """WITH m AS (SELECT max(o_orderkey) AS top FROM orders),
+o AS (SELECT o_orderkey, o_custkey, top, o_orderkey // (top // 20 + 1) AS file FROM orders, m),
+f AS (SELECT count(DISTINCT file) AS files, count(DISTINCT file) FILTER (WHERE o_orderkey < top // 100) AS rewritten FROM o),
+r AS (SELECT 'updated' AS kind, o_orderkey AS k, o_custkey + 1000000 AS c FROM o WHERE o_orderkey < top // 100
+ UNION ALL SELECT 'kept', o_orderkey, o_custkey FROM o WHERE o_orderkey >= top // 100
+ UNION ALL SELECT 'inserted', -o_orderkey - 1, o_custkey FROM o WHERE o_orderkey < top // 200)
+SELECT kind, count(*) AS n_rows, CAST(sum(k) AS BIGINT) AS keys, CAST(sum(c) AS BIGINT) AS customers, files AS n_files,
+ rewritten AS n_rewritten, files - rewritten AS n_untouched FROM r, f GROUP BY ALL""",
     "silver_swap": """WITH r AS (SELECT 'file ' || (user_id % 10) AS src_file, event_id FROM events),
 s AS (SELECT unnest(['staged', 'committed', 'merged']) AS state)
 SELECT state, src_file, CAST(CASE WHEN state <> 'staged' AND src_file < 'file 5' THEN 1 ELSE 0 END AS INT) AS edition,

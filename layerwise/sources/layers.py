@@ -66,6 +66,15 @@ def row_count(df: DataFrame, name: str) -> DataFrame:
     )
 
 
+def footer_row_count(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """``row_count`` of Parquet files from their footers: no data page is read. The scan takes the
+    aggregate over, in a session whose settings allow it."""
+    apart = spark.newSession()
+    apart.conf.set("spark.sql.sources.useV1SourceList", "csv,json,orc,text,avro,kafka")
+    apart.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return row_count(apart.read.parquet(path), name)
+
+
 def table_sample(
     df: DataFrame, columns: Sequence[str], key: Sequence[str], limit: int = 1000
 ) -> DataFrame:

@@ -9,13 +9,18 @@ readers see the rows of its last sealed version. Spark's scans of the dataset sk
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from layerwise.session import local_frame
+from layerwise.operators.dedup import splittable_equal
+from layerwise.operators.merge import batch_update, one_per_key
+from layerwise.session import local_frame, scratch_path
 
 PART_DATE, VERSION, SOURCE = "part_date", "part_version", "src_file"
 COMMITS = f"{PART_DATE} string, {SOURCE} string, n_rows bigint, {VERSION} string"
@@ -133,6 +138,59 @@ def merge_versions(spark: SparkSession, path: str, date: str) -> str | None:
     return version
 
 
+@dataclass(frozen=True)
+class Upserted:
+    """What an upsert did: files of the date before it, those of them rewritten, rows that were new."""
+
+    files: int
+    rewritten: int
+    inserted: int
+
+
+def upsert_files(
+    spark: SparkSession, path: str, date: str, source: DataFrame, keys: Sequence[str], latest: str | None = None
+) -> Upserted:
+    """Update and insert rows of a date by key, and rewrite only the source files that hold a key
+    of ``source``; the others are neither rewritten nor, but for their key columns, read.
+
+    Source rows are looked up among the keys of the date, within the range of their first key,
+    which skips row groups and files of data laid out by key. Rows under new keys come as a file of
+    their own. Of several source rows of a key the one of the largest ``latest`` counts; rows
+    without a key are new.
+    """
+    versions, target = file_versions(spark, path, date), read_current(spark, path, date)
+    if target is None:
+        raise ValueError(f"nothing is committed for {date}")
+    usable = one_per_key(source, keys, latest)
+    if latest and latest not in target.columns:
+        usable = usable.drop(latest)
+    low, high = usable.agg(F.min(keys[0]), F.max(keys[0])).first()
+    near = target.where(F.col(keys[0]).between(F.lit(low), F.lit(high))).select(
+        *[F.col(key).alias(f"__t_{key}") for key in keys], F.col(SOURCE).alias("__file")
+    )
+    same = reduce(Column.__and__, [splittable_equal(F.col(key), F.col(f"__t_{key}")) for key in keys])
+    place = scratch_path(spark, "upsert")
+    usable.join(near, same, "left").drop(*[f"__t_{key}" for key in keys]).write.parquet(place)
+    found = spark.read.parquet(place)
+    touched = [row[0] for row in found.where("__file IS NOT NULL").select("__file").distinct().collect()]
+    version = new_version()
+    no_key = reduce(Column.__or__, [F.col(key).isNull() for key in keys])
+    new = found.where("__file IS NULL").drop("__file").unionByName(source.where(no_key).select(usable.columns))
+    fields = [
+        (F.col(f.name) if f.name in usable.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in target.schema.fields
+        if f.name not in (PART_DATE, SOURCE)
+    ]
+    added = new.select(*fields, F.lit(date).alias(PART_DATE), F.lit(f"added-{version}").alias(SOURCE))
+    inserted = added.count()
+    rewritten = batch_update(target.where(F.col(SOURCE).isin(touched)), usable, keys)
+    stage(rewritten.unionByName(added), path, version)
+    names = [(date, name) for name in touched] + ([(date, f"added-{version}")] if inserted else [])
+    commit(spark, path, version, local_frame(spark, names, f"{PART_DATE} string, {SOURCE} string"))
+    before = versions.where("current AND n_rows > 0").count()
+    return Upserted(before, len(touched), inserted)
+
+
 def drop_replaced(spark: SparkSession, path: str) -> list[str]:
     """Remove the folders of versions of which no file is current any more; those not sealed stay,
     as their job may still run."""

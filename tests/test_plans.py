@@ -31,6 +31,11 @@ def test_gold_log_is_two_hash_aggregates(spark, sf_dir):
     assert "min_by" in body and "user_ref" not in body
 
 
+def test_row_counts_come_from_footers(spark, sf_dir):
+    plan = plan_of(QUERIES["row_counts"](spark, sf_dir))
+    assert plan.count("PushedAggregation: [COUNT(*)]") == len(tb.TABLES)
+
+
 def test_date_range_is_pushed_down(spark, sf_dir):
     scan = plan_of(QUERIES["scan_date_partition"](spark, sf_dir))
     assert "IsNotNull(event_type), GreaterThanOrEqual(ts" in scan

@@ -128,3 +128,23 @@ def test_stream_enters_files_it_cannot_read(spark, tmp_path):
     assert rows(ledger.select("table_name", "filedate", "status")) == [("Device", "20250416", "failed")]
     gold = layers.read_layer(spark, layout.gold, "Device", "20250416")
     assert rows(gold.select("a", "b", F.col("src_brand"))) == [("1", "2", "North TV")]
+
+
+def test_upsert_rewrites_only_files_with_its_keys(spark, tmp_path):
+    path, date = str(tmp_path / "Device"), "20250416"
+    version = versions.new_version()
+    data = [(date, f"f{k // 10}", k, f"v{k}", "x") for k in range(50)]
+    df = spark.createDataFrame(data, "part_date string, src_file string, id int, v string, w string")
+    versions.stage(df, path, version)
+    versions.commit(spark, path, version, df.select("part_date", "src_file"))
+    source = spark.createDataFrame([(3, "old", 1), (3, "new", 2), (27, "new", 1), (77, "more", 1), (None, "no key", 1)], "id int, v string, at int")
+    done = versions.upsert_files(spark, path, date, source, ["id"], latest="at")
+    assert (done.files, done.rewritten, done.inserted) == (5, 2, 2)
+    found = {r["id"]: (r["v"], r["w"]) for r in versions.read_current(spark, path, date).where("id IS NOT NULL").collect()}
+    assert found == {k: (f"v{k}", "x") for k in range(50)} | {3: ("new", "x"), 27: ("new", "x"), 77: ("more", None)}
+    current = versions.file_versions(spark, path, date).where("current").groupBy("part_version").count()
+    assert sorted(r["count"] for r in current.collect()) == [3, 3]
+    again = versions.upsert_files(spark, path, date, source.where("id = 77").drop("at"), ["id"])
+    assert (again.files, again.rewritten, again.inserted) == (6, 1, 0)
+    with pytest.raises(ValueError, match="nothing"):
+        versions.upsert_files(spark, path, "20250417", source, ["id"], latest="at")
