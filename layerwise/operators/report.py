@@ -177,13 +177,19 @@ def gold_log(
 
     Without a uniqueness rule of its own the log is two nested partial aggregates: row-local
     rules are packed into a bit mask first, then each key keeps its count and the mask of its
-    first row. Only key, order and mask are shuffled, never the payload.
+    first row. Only key, order and mask are shuffled, never the payload. A uniqueness rule over other
+    columns adds a digest of these to the key's state and a third aggregate over digests.
     """
     dedup = bool(keys) and set(keys) <= set(df.columns)
     unique = list(dict.fromkeys([*group, *keys])) if dedup else []
     left = [r for r in rules if r.kind == "uniqueness" and set(r.columns) <= set(df.columns)]
     left = [r for r in left if not (unique and set(unique) <= {*r.columns, *group})]
-    if left:
+    if len(left) == 1 and dedup:
+        # scoped to the group alone, uniqueness rules need no work of their own here
+        checked = check_rules(df, rules, order, scope=group, unique_keys=group)
+        frame, masks = _with_masks(checked)
+        totals = _unique_totals(frame, masks, checked, left[0], group, unique, order)
+    elif left:
         before = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__before"))
         rows = keep_first(df, unique, order) if dedup else df
         checked = check_rules(rows, rules, order, scope=group, unique_keys=unique)
@@ -212,6 +218,52 @@ def gold_log(
     return _gold_columns(totals, checked, group, len(masks))
 
 
+def _unique_totals(
+    frame: DataFrame,
+    masks: Sequence[str],
+    checked: Checked,
+    rule: Rule,
+    group: Sequence[str],
+    unique: Sequence[str],
+    order: Sequence[str],
+) -> DataFrame:
+    """Group totals with one uniqueness rule over the rows that a keep-first dedup leaves, in one
+    scan: a key's state is its count, the position, mask and digest (of the rule's columns) of its
+    first row, and repeats are counted over the states. The digest has 128 bits."""
+    marked = [part for name in rule.columns for part in (F.col(name), F.col(name).isNull())]
+    digests = {f"__digest{i}": F.xxhash64(*marked, F.lit(i)) for i in range(2)}
+    position = order_value(order)
+    states = frame.withColumns(digests).groupBy(*unique).agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.min(position).alias("__first"),
+        *[F.min_by(name, position).alias(name) for name in (*masks, *digests)],
+    )
+    bad = F.lit(False)
+    for mask in masks:
+        bad = bad | (F.col(mask) != 0)
+    alike = states.groupBy(*group, *digests).agg(
+        F.sum("__n").alias("__before"),
+        F.count(F.lit(1)).alias("__rows"),
+        F.count_if(bad).alias("__bad"),
+        F.min_by(bad, "__first").alias("__first_bad"),
+        *[F.bit_or(mask).alias(mask) for mask in masks],
+    )
+    repeated = F.col("__rows") > 1
+    if rule.keep == "first":
+        errors = F.col("__rows") - F.when(F.col("__first_bad"), 0).otherwise(1)
+    else:
+        errors = F.when(repeated, F.col("__rows")).otherwise(F.col("__bad"))
+    place = list(checked.by_error_type()).index(rule.error_type)
+    own = F.when(repeated, F.lit(1 << place % _MASK_BITS).cast("bigint")).otherwise(0)
+    seen = {mask: F.col(mask).bitwiseOR(own) if i == place // _MASK_BITS else F.col(mask) for i, mask in enumerate(masks)}
+    return alike.groupBy(*group).agg(
+        F.sum("__before").alias("__before"),
+        F.sum("__rows").alias("__after"),
+        F.sum(errors).alias("__error"),
+        *[F.bit_or(value).alias(f"__seen{i}") for i, value in enumerate(seen.values())],
+    )
+
+
 def gold_record(log: DataFrame) -> DataFrame:
     """A gold log with the load counts, message and JSON details of the monitoring table.
 

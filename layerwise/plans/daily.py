@@ -278,7 +278,8 @@ def gold_to_target(
     clean = schema.apply_null_policy(projected, date_columns=EMPTY_AS_NULL_DATES)
     loaded_rows, rejects = _load(spark, layout, table, target, date, clean)
 
-    log = report.gold_log(rows, rules, ["BRAND"], keys, land.POSITION)
+    placed, order = land.with_packed_position(rows)
+    log = report.gold_log(placed, rules, ["BRAND"], keys, order)
     if rejects is not None:
         log = log.join(rejects, F.col("BRAND").eqNullSafe(F.col("__brand")), "left").drop("__brand")
     log = enrich.enrich_brand(log, brands_from(dict(layout.brands)))

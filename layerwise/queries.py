@@ -1021,8 +1021,12 @@ def configured_gold(spark, sf):
     layout = daily.Layout(
         *[f"{root}/{part}" for part in ("landing", "raw", "silver", "gold", "logs")], {}, {}, {}
     )
-    silver = tb.dirty_events(spark, sf).drop("filedate").withColumn(layers.PART_DATE, F.lit("20240131"))
-    layers.write_partitioned(silver, f"{layout.silver}/Events", [layers.PART_DATE])
+    silver = tb.dirty_events(spark, sf).drop("filedate").withColumns(
+        {versions.PART_DATE: F.lit("20240131"), versions.SOURCE: F.concat("table_name", F.lit(".csv"))}
+    )
+    version, place = versions.new_version(), f"{layout.silver}/Events"
+    versions.stage(silver, place, version)
+    versions.commit(spark, place, version, silver.select(versions.PART_DATE, versions.SOURCE))
     config = {
         "filter_conditions": "asset_duration > 10",
         "key_columns": ["kind", "brand"],

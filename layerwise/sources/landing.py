@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -52,6 +53,29 @@ ONE_COLUMN = "\x01"
 POSITION = ("src_file", "src_block", "src_row")
 
 
+# A packed position: digits of the file's code, of its block and of its row.
+_DIGITS = (6, 15, 17)
+
+
+def with_packed_position(rows: DataFrame, name: str = "src_position", most_files: int = 100_000) -> tuple[DataFrame, list[str]]:
+    """Rows with their position as one number of fixed width, and the columns to order by.
+
+    An aggregate keeps such a number in its hash table's buffer, where a text would make it sort its
+    input. Files get codes in the order of their names, which the driver lists as it lists the files;
+    with more than ``most_files`` of them the rows stay as they are and the order is ``POSITION``.
+    """
+    files = rows.select("src_file").distinct().limit(most_files + 1).toArrow()
+    found = sorted(files.column(0).to_pylist())
+    if len(found) > most_files:
+        return rows, list(POSITION)
+    codes = local_frame(rows.sparkSession, list(zip(found, range(len(found)))), "__file string, __code int")
+    parts = zip(("__code", "src_block", "src_row"), _DIGITS, (sum(_DIGITS[1:]), _DIGITS[2], 0))
+    packed = [F.col(part).cast(f"decimal({digits},0)").cast("decimal(38,0)") * Decimal(10**shift) for part, digits, shift in parts]
+    joined = rows.join(F.broadcast(codes), F.col("src_file") == F.col("__file"), "left")
+    position = reduce(Column.__add__, packed).cast("decimal(38,0)")
+    return joined.withColumn(name, position).drop("__file", "__code"), [name]
+
+
 def csv_glob(date: str | None = None) -> str:
     return f"*_{date}.[cC][sS][vV]" if date else "*.[cC][sS][vV]"
 

@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from layerwise import testbed as tb
-from layerwise.operators import dedup
+from layerwise.operators import dedup, report
+from layerwise.operators.rules import parse_rules
 from layerwise.queries import QUERIES
 from layerwise.session import build_session, scratch_path
-from layerwise.sources import layers
+from layerwise.sources import landing, layers
 
 
 def plan_of(df):
@@ -31,6 +32,26 @@ def test_gold_log_is_two_hash_aggregates(spark, sf_dir):
     assert "min_by" in body and "user_ref" not in body
 
 
+def test_gold_log_in_the_order_of_the_flow_does_not_sort(spark, sf_dir):
+    rows = tb.dirty_events(spark, sf_dir).select(
+        "*", F.concat(F.lit("f "), F.col("event_id") % 7).alias("src_file"),
+        (F.col("event_id") % 3 * 1000).cast("bigint").alias("src_block"), F.col("event_id").cast("bigint").alias("src_row"),
+    )
+    placed, order = landing.with_packed_position(rows)
+    rules = parse_rules(tb.RULES, "Events")
+    packed, plain = (report.gold_log(df, rules, ["brand"], ["user_id"], by) for df, by in ((placed, order), (rows, landing.POSITION)))
+    assert "SortAggregate" in plan_of(plain) and "SortAggregate" not in plan_of(packed)
+    assert sorted(packed.collect()) == sorted(plain.collect())
+    kept = placed.orderBy(order).select("event_id").limit(500).collect()
+    assert kept == rows.orderBy(*landing.POSITION).select("event_id").limit(500).collect()
+    assert landing.with_packed_position(rows, most_files=3) == (rows, list(landing.POSITION))
+
+
+def test_uniqueness_in_the_log_scans_once(spark, sf_dir):
+    plan = plan_of(QUERIES["gold_log_uniqueness"](spark, sf_dir))
+    assert plan.count("FileScan") == 1 and "Join" not in plan and "Window" not in plan
+
+
 def test_row_counts_come_from_footers(spark, sf_dir):
     plan = plan_of(QUERIES["row_counts"](spark, sf_dir))
     assert plan.count("PushedAggregation: [COUNT(*)]") == len(tb.TABLES)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from conftest import rows
 
@@ -194,3 +196,31 @@ def test_absent_columns_among_several_are_reported(df):
 def test_a_condition_replaces_the_duration_columns():
     rule = {"t": {"duration_validation": {"condition": "a <= b", "error_type": "bad"}}}
     assert parse_rules(rule, "t")[0].kind == "condition"
+
+
+@pytest.mark.parametrize("keep", ["first", "none"])
+@pytest.mark.parametrize("shared", [True, False])
+def test_gold_log_with_uniqueness_against_plain_python(spark, keep, shared):
+    """Keep first per key, then repeats of other columns (NULL ones too) among what is left."""
+    pick = random.Random(3)
+    data = [(pick.choice("ab"), pick.choice([1, 2, 3, 4, 5, None]), pick.choice(["u", "v", "w", None]), pick.choice([None, 1]), pick.choice("xy"), i) for i in range(60)]
+    df = spark.createDataFrame(data, "g string, k int, u string, u2 int, flag string, o int").repartition(3)
+    kinds = {"T": {
+        "valid_types": {"column": "flag", "allowed_values": ["x"], "error_type": "same" if shared else "flags"},
+        "uniqueness": {"columns": ["u", "u2"], "keep": keep, "error_type": "same" if shared else "repeats"},
+        "required_fields": {"columns": ["no"], "error_type": "absent"},
+    }}
+    found = report.gold_log(df, parse_rules(kinds, "T"), ["g"], ["k"], ["o"]).collect()
+    for row in found:
+        own = sorted((r for r in data if r[0] == row.g), key=lambda r: r[5])
+        left = list({r[1]: r for r in reversed(own)}.values())
+        left.sort(key=lambda r: r[5])
+        alike: dict = {}
+        for r in left:
+            alike.setdefault(r[2:4], []).append(r)
+        repeats = {r[5] for rs in alike.values() if len(rs) > 1 for r in (rs[1:] if keep == "first" else rs)}
+        flagged = {r[5] for r in left if r[4] != "x"}
+        failed = len({"same"} if shared else ({"flags"} if flagged else set()) | ({"repeats"} if repeats else set()))
+        assert (row.records_before_agg, row.records_after_agg, row.records_error) == (len(own), len(left), len(repeats | flagged))
+        assert (row.checks_failed, row.checks_total, row.checks_skipped) == (failed, 3, 1)
+    assert len(found) == 2
