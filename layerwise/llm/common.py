@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,6 +37,14 @@ def with_columns(df: DataFrame, new: dict[str, Column]) -> DataFrame:
     return df.select(*[df[c] for c in df.columns if c.lower() not in taken], *[c.alias(n) for n, c in new.items()])
 
 
+def shielded(docs: DataFrame, step: Callable[[DataFrame], DataFrame], known: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """``step`` of ``docs``, during which columns other than the ``known`` ones have names that clash
+    with none of its own. The step returns the columns it was given."""
+    during = {c: c if c in known else f"own_column_{i}" for i, c in enumerate(docs.columns)}
+    done = step(docs.select(*[docs[c].alias(name) for c, name in during.items()]))
+    return done.select(*[F.col(name).alias(c) for c, name in during.items()])
+
+
 def by_size(texts: pd.Series, limit: int = 1 << 23) -> Iterator[list[str]]:
     """Texts (null: empty) in runs of about ``limit`` characters, so that memory follows the
     longest text and not the batch."""

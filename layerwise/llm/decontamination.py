@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import with_columns
+from .common import shielded, with_columns, written
 
 WINDOW = 10
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -353,19 +353,37 @@ def find_contamination(
     return with_columns(found, fields).drop("__hits")
 
 
-def remove_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def remove_contamination(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """``docs`` with the spans cut out of ``text`` (a line end in their place) and ``n_chars``,
     where there is one, set anew for the texts that changed. Joining what stood around a span
-    can make a window anew, so changed texts are searched again until none is hit. Documents of
-    which no word is left go; documents without hits stay as they are, empty ones included.
+    can make a window anew, so changed texts are searched again until none is hit; with a benchmark
+    of several blocks the texts are written between rounds over all of them, until a round changes
+    none. Documents of which no word is left go; documents without hits stay as they are, empty
+    ones included. Other columns may have any names.
     """
-    blocks = list(benchmark_blocks(benchmark))
-    cleaners = [_cleaner(Phrases(items, window)) for items in blocks]
-    text = docs["text"]
-    for clean in cleaners * (1 if len(cleaners) == 1 else 2):
-        text = clean(text)
-    out = with_columns(docs, {"__clean": text})
-    changed = ~F.col("text").eqNullSafe(F.col("__clean"))
+    cleaners = [_cleaner(Phrases(items, window)) for items in benchmark_blocks(benchmark, block_bytes)]
+    return shielded(docs, lambda own: _without_spans(own, cleaners), ("doc_id", "text", "n_chars"))
+
+
+def _without_spans(docs: DataFrame, cleaners: list) -> DataFrame:
+    text = F.col("text")
+    if len(cleaners) <= 1:
+        out = with_columns(docs, {"__clean": cleaners[0](text) if cleaners else text})
+    else:
+        out = with_columns(docs, {"__clean": text})
+        while True:
+            after = F.col("__clean")
+            for clean in cleaners:
+                after = clean(after)
+            out = written(out.withColumn("__after", after), "decontamination-round")
+            moved = ~F.col("__after").eqNullSafe(F.col("__clean"))
+            done = out.where(moved).isEmpty()
+            out = with_columns(out, {"__clean": F.col("__after")}).drop("__after")
+            if done:
+                break
+    changed = ~text.eqNullSafe(F.col("__clean"))
     bare = F.regexp_replace(F.col("__clean"), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", "")
     out = out.where(~changed | (bare != ""))
     new = {c: F.col(c) for c in docs.columns}

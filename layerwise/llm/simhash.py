@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from layerwise.session import local_frame
 
-from .common import by_size, with_columns, written
+from .common import by_size, shielded, with_columns, written
 
 WORDS, RADIUS, SEED, BITS = 4, 4, 42, 64
 _BIT = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
@@ -324,8 +324,13 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, words: int = WORDS) -
 def keep_one(docs: DataFrame, radius: int = RADIUS, words: int = WORDS) -> DataFrame:
     """``docs`` without all but one document of each component: the one of the least id (null
     ids last), then of the least fingerprint. Where several rows have that id, their fingerprints
-    tell which is meant, and of rows alike in both the one of the least hash stays.
+    tell which is meant, and of rows alike in both the one of the least hash stays. Other columns
+    may have any names.
     """
+    return shielded(docs, lambda own: _keep_one(own, radius, words))
+
+
+def _keep_one(docs: DataFrame, radius: int, words: int) -> DataFrame:
     found = written(components(docs, radius, words), "found")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp"))
     picked = found.groupBy("root").agg(least.alias("p")).select("root", "p.doc_id", "p.fp")

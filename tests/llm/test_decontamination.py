@@ -5,6 +5,7 @@ import re
 import numpy as np
 import pytest
 from helpers_llm import ODD_TEXTS, no_documents, odd_documents
+from pyspark.sql import functions as F
 
 from layerwise.llm import decontamination as D
 from layerwise.llm.queries import QUERIES
@@ -133,3 +134,20 @@ def test_query(spark, sf_dir):
     ]
     assert sorted(map(tuple, rows)) == sorted(expected)
     assert any(e[5] for e in expected)
+
+
+@pytest.mark.parametrize("block_bytes", [20, 1 << 20])
+def test_windows_within_windows_go_whatever_the_blocks(spark, block_bytes):
+    """Cutting an inner window joins an outer one, whose item may lie in another block."""
+    words = {k: [f"{k}{i}x" for i in range(10)] for k in "ab"}
+    text = list(words["b"])
+    for level in range(5):
+        outer = words["ab"[level % 2]]
+        text = outer[:5] + text + outer[5:]
+    rows = [(1, " ".join(text)), (2, "left as it is"), (3, "kept " + " ".join(text) + " too")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    items = frame(spark, [(k, " ".join(w)) for k, w in words.items()])
+    found = D.remove_contamination(docs.withColumn("__clean", F.lit("own")).withColumn("__after", F.lit(1)), items, block_bytes=block_bytes)
+    assert sorted((r["doc_id"], r["text"].split(), r["__clean"], r["__after"]) for r in found.collect()) == [
+        (2, "left as it is".split(), "own", 1), (3, ["kept", "too"], "own", 1),
+    ]

@@ -1,5 +1,6 @@
 import corpus_pipeline
-from helpers_llm import no_documents
+from helpers_llm import no_documents, odd_documents
+from pyspark.sql import functions as F
 
 from layerwise.llm import decontamination, language, packing, simhash, toxicity
 from layerwise.llm.common import table
@@ -62,3 +63,12 @@ def test_stages_bear_odd_documents(spark, sf_dir):
             if name == "language_id" and docs.count():
                 assert {r["doc_id"] for r in found} == {1, 4}
     assert no_documents(spark).count() == 0
+
+
+def test_stages_bear_any_column_names(spark, sf_dir):
+    names = ["__id", "__fp", "__root", "__rows", "__found", "__score", "__clean", "found", "score", "fp", "root", "component_id"]
+    docs = odd_documents(spark).select("doc_id", "text", *[F.lit(i).alias(c) for i, c in enumerate(names)])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns
+        assert all(list(r)[2:] == list(range(len(names))) for r in out.collect())
