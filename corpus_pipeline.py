@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerwise.llm import decontamination, language, packing, simhash, toxicity
-from layerwise.llm.common import table, written
+from layerwise.llm.common import shielded, table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -25,22 +25,27 @@ TOXIC = 0.5
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language stay; texts without letters, null ones included, and texts
-    unlike every profile go."""
+    unlike every profile go. Each row is judged on its own, repeated ones alike; columns may have any
+    names; an empty table stays empty."""
     profiles = language.learn(table(spark, sf_dir, "documents"))
-    found = docs.select(*docs.columns, profiles.predict(docs["text"]).alias("__found"))
-    known = (F.col("__found.lang_pred") != language.UNKNOWN) & (F.col("__found.score") >= LEAST_LIKENESS)
-    return found.where(known).select(docs.columns)
+
+    def known(own: DataFrame) -> DataFrame:
+        found = own.select("*", profiles.predict(own["text"]).alias("found"))
+        return found.where((F.col("found.lang_pred") != language.UNKNOWN) & (F.col("found.score") >= LEAST_LIKENESS))
+
+    return shielded(docs, known)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents below the toxicity threshold stay."""
+    """Documents below the toxicity threshold stay, null and empty texts among them. Each row is
+    judged on its own, repeated ones alike; columns may have any names; an empty table stays empty."""
     model = toxicity.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    scored = docs.select(*docs.columns, model.score(docs["text"]).alias("__score"))
-    return scored.where(F.col("__score") < TOXIC).select(docs.columns)
+    return shielded(docs, lambda own: own.select("*", model.score(own["text"]).alias("score")).where(F.col("score") < TOXIC))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component stays: the one of the least id."""
+    """One document of each SimHash component stays: the one of the least id. Texts without words,
+    null ones included, are one component; of repeated rows one stays."""
     return simhash.keep_one(docs)
 
 
@@ -50,7 +55,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of what is left, with their places in sequences of 2048 tokens."""
+    """The pieces of what is left, with their places in sequences of 2048 tokens. Null and empty
+    texts are an end id; repeated rows are packed each; an empty table has no pieces."""
     return packing.pack(docs)
 
 
