@@ -90,6 +90,7 @@ _SENTENCE_END = re.compile(r"[.!?…。！？।؟۔]['\"»”’)\]]*$")
 _NOTICE = re.compile(r"^©|(?:©|\(c\)|\bcopyright)\s*(?:©|\(c\)|(?:19|20)\d\d|by\b)|\ball rights reserved\b", re.I)
 _COPYRIGHT = re.compile(r"©|\bcopyright\b", re.I)
 _HEADING = re.compile("h[1-6]")
+_PRINCIPAL = re.compile(r"""<(main|article|h1)(?=[\s/>])((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.I)
 #: Where an element without an end is taken to end: a block tag, but not within a string of a script.
 _BLOCK_TAG = re.compile(rf"(?<![\"'`\\])</?(?:{'|'.join(sorted(_BLOCKS))})(?=[\s/>])", re.I)
 
@@ -115,6 +116,7 @@ def _attributes(source: str) -> dict[str, str]:
 
 
 def _is_boilerplate(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
+    """What the tag itself or an attribute that hides it or gives its role tells."""
     if tag in _BOILERPLATE:
         return not (tag == "header" and in_article)
     if not attributes or tag in ("html", "body", "main"):
@@ -123,13 +125,31 @@ def _is_boilerplate(tag: str, attributes: dict[str, str], in_article: bool) -> b
         return True
     if "hidden" in attributes or re.search(r"display\s*:\s*none", attributes.get("style", ""), re.I):
         return True
+    return False
+
+
+def _is_named_boilerplate(tag: str, attributes: dict[str, str]) -> bool:
+    """What class names and the id tell: the weakest evidence, which no holder of the page's
+    principal element minds."""
     named = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    if named == " ":
+    if named == " " or tag in ("html", "body", "main"):
         return False
     named = _LAYOUT.sub("", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", named))
     return bool((_REPLY if tag == "article" else _HINTS).search(named))
 
 
+def _principal(page: str) -> int:
+    """Where the element begins that the page is about: its main, else its first article that is not
+    named a reply, else its first article or heading of the first rank; -1 without any of them."""
+    first: dict[str, int] = {}
+    for match in _PRINCIPAL.finditer(page):
+        tag = match[1].lower()
+        if tag == "article" and _is_named_boilerplate(tag, _attributes(match[2])):
+            tag = "reply"
+        first.setdefault(tag, match.start())
+    return next((first[tag] for tag in ("main", "article", "reply", "h1") if tag in first), -1)
+
+
 def blocks(page: str) -> list[Block]:
     """Blocks of a page in order. Broken markup is read on: an end tag closes the nearest open
     element of its name, if there is one; what is open at the end is closed there. A skipped
@@ -141,6 +161,7 @@ def blocks(page: str) -> list[Block]:
     endless: set[str] = set()
     opened: Counter = Counter()  # elements on the stack, by tag
     current = Block()
+    principal: int | None = None
     links = 0
     at = 0
 
@@ -166,6 +187,18 @@ def blocks(page: str) -> list[Block]:
             if links:
                 current.linked += len(text)
 
+    def holds_principal(tag: str, start: int, at: int) -> bool:
+        """Whether the element from ``start``, whose start tag ends at ``at``, is or holds what the
+        page is about."""
+        nonlocal principal
+        if principal is None:
+            principal = _principal(page)
+        if principal < start:
+            return False
+        if tag not in ends:
+            ends[tag] = _ends(page, tag)
+        return principal < ends[tag].get(at, len(page))
+
     def beyond(tag: str, at: int) -> int:
         """The place after a skipped element whose start tag ends at ``at``."""
         if tag in _RAW_END:
@@ -226,7 +259,10 @@ def blocks(page: str) -> list[Block]:
         while depth := _closed_by(tag, stack):
             close(depth)  # and what was left open inside of it
         _, boilerplate, article, inner = stack[-1]
-        own = _is_boilerplate(tag, _attributes(match[3]), article)
+        attributes = _attributes(match[3])
+        own = _is_boilerplate(tag, attributes, article)
+        if not own and attributes and _is_named_boilerplate(tag, attributes):
+            own = not holds_principal(tag, match.start(), at)
         if tag == "main":
             boilerplate = False
         # Other elements tell nothing; unclosed ones in any number are not to be looked through.

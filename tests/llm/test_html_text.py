@@ -48,6 +48,18 @@ def test_wrappers_and_replies():
     assert main_text(page(f'<div class="banner"><main><p>{PROSE}</p></main></div>')) == PROSE
 
 
+@pytest.mark.parametrize("name", ["search-results-article", "page-header-wrap", "post tags-news", "related widget", "sidebar-layout"])
+def test_names_of_what_holds_the_article(name):
+    """A wrapper's name drops nothing of the page's own article, and what lies beside it goes."""
+    related = f'<section class="related"><article><p>{PROSE}</p></article></section>'
+    for inner in (f"<article><h1>Head</h1><p>{PROSE}</p></article>", f"<main><h1>Head</h1><p>{PROSE}</p></main>", f"<h1>Head</h1><p>{PROSE}</p>"):
+        beside = related if "<h1>" not in inner[:4] else related.replace("article", "div")
+        assert main_text(page(f'<div class="{name}">{inner}</div>{beside}')) == f"Head\n\n{PROSE}"
+    assert main_text(page(f'<article class="post comments-open"><p>{PROSE}</p></article>')) == PROSE
+    reply = f'<article class="comment"><p>{PROSE}</p></article>'
+    assert main_text(page(f'<div id="comments">{reply}</div><div class="{name}"><article><p>{PROSE}</p></article></div>')) == PROSE
+
+
 def test_rules_without_an_article_element():
     body = f"<div><p>{PROSE}</p><p>Short one.</p><p>{PROSE}</p></div><ul><li><a href=1>One</a></li><li><a href=2>Two</a></li></ul>"
     assert main_text(page(body)) == f"{PROSE}\n\nShort one.\n\n{PROSE}"
