@@ -102,6 +102,7 @@ def rule_status(checked: Checked, group: Sequence[str]) -> DataFrame:
     return per_group.select(*group, "n_rows", F.inline(F.array(*entries)))
 
 
+# Fixed value: the text of a log row without details.
 _NO_DETAILS = '{"info":"No additional details"}'
 _PER_COLUMN = ("required_fields", "date_validation")
 
