@@ -502,7 +502,7 @@ def file_row_counts(spark, sf):
 
 @query
 def row_counts(spark, sf):
-    counts = [layers.footer_row_count(spark, f"{sf}/{t}.parquet", t) for t in tb.TABLES]
+    counts = [layers.footer_row_count(spark, f"{sf}/{t}.parquet", t, tb.load(spark, sf, t).schema) for t in tb.TABLES]
     return reduce(DataFrame.unionByName, counts)
 
 

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from layerwise.functions.names import decode_file_name
 from layerwise.operators.schema import quoted
@@ -66,13 +67,14 @@ def row_count(df: DataFrame, name: str) -> DataFrame:
     )
 
 
-def footer_row_count(spark: SparkSession, path: str, name: str) -> DataFrame:
+def footer_row_count(spark: SparkSession, path: str, name: str, schema: T.StructType | None = None) -> DataFrame:
     """``row_count`` of Parquet files from their footers: no data page is read. The scan takes the
-    aggregate over, in a session whose settings allow it."""
+    aggregate over, in a session whose settings allow it. A known ``schema`` saves looking it up."""
     apart = spark.newSession()
     apart.conf.set("spark.sql.sources.useV1SourceList", "csv,json,orc,text,avro,kafka")
     apart.conf.set("spark.sql.parquet.aggregatePushdown", "true")
-    return row_count(apart.read.parquet(path), name)
+    reader = apart.read.schema(schema) if schema else apart.read
+    return row_count(reader.parquet(path), name)
 
 
 def table_sample(
