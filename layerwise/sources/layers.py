@@ -61,6 +61,12 @@ def file_row_counts(df: DataFrame) -> DataFrame:
     )
 
 
+def given_file_row_count(df: DataFrame, name: str) -> DataFrame:
+    """Rows of one given file, the scan of it whole: a file written as a directory of parts
+    counts as one file, and an empty one counts 0."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("file_name"), "n_rows")
+
+
 def row_count(df: DataFrame, name: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
         F.lit(name).alias("table_name"), "n_rows"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,3 +128,17 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
     path = scratch_path(spark, "x")
     assert path.startswith(spark.conf.get("spark.checkpoint.dir", path))
     assert build_session() is spark or build_session().sparkContext is spark.sparkContext
+
+
+def test_file_row_counts_name_each_given_file_once(spark, sf_dir, tmp_path):
+    # documents as a directory of two parts, labels empty: one row each, as the SQL counts them
+    for t in tb.TABLES:
+        os.symlink(f"{sf_dir}/{t}.parquet", tmp_path / f"{t}.parquet")
+    os.unlink(tmp_path / "documents.parquet")
+    os.unlink(tmp_path / "labels.parquet")
+    docs = tb.load(spark, sf_dir, "documents")
+    docs.repartition(2).write.parquet(str(tmp_path / "documents.parquet"))
+    tb.load(spark, sf_dir, "labels").limit(0).write.parquet(str(tmp_path / "labels.parquet"))
+    got = dict(QUERIES["file_row_counts"](spark, str(tmp_path)).collect())
+    assert len(got) == len(tb.TABLES)
+    assert got["documents.parquet"] == docs.count() and got["labels.parquet"] == 0
