@@ -111,33 +111,41 @@ def file_inventory(
 
 
 def head_lines(spark: SparkSession, files: Sequence[tuple[str, int]], n: int = HEAD_LINES) -> DataFrame:
-    """(file_path, __line_id, value) of the first ``n`` lines of files, given by path and size,
-    without reading on.
+    """(file_path, __block, __line_id, value) of the first ``n`` lines of files, given by path and
+    size, without reading on; ``__block`` and then ``__line_id`` order a file's lines.
 
     Files of up to ``SMALL_FILE`` bytes are read in one scan. Each larger one is a scan of its own
     that stops at its limit, many of them in one job, so what is read follows the number of files
     and not their size. The settings that keep a file in one piece are those of a session of its
-    own; the lines come back as a small table in the shared folder.
+    own; where they do not hold, its lines are taken from the split that starts the file, and the
+    others are passed over. The lines come back as a small table in the shared folder.
     """
     apart = spark.newSession()
     for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
         apart.conf.set(key, str(1 << 40))
     place = scratch_path(spark, "heads")
-    line_id = F.monotonically_increasing_id().alias("__line_id")
 
     def keep(lines: DataFrame) -> None:
-        lines.select("file_path", line_id, "value").write.mode("append").parquet(place)
+        lines.select("file_path", "__block", "__line_id", "value").write.mode("append").parquet(place)
 
     def scan(session: SparkSession, paths: Sequence[str]) -> DataFrame:
-        return session.read.text(list(paths)).select(F.col("_metadata.file_path").alias("file_path"), "value")
+        # Numbered within the split as it is read: a limit's shuffle keeps no order.
+        return session.read.text(list(paths)).select(
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_block_start").alias("__block"),
+            F.monotonically_increasing_id().alias("__line_id"),
+            "value",
+        )
 
     small = [path for path, size in files if 0 < size <= SMALL_FILE]
     large = [path for path, size in files if size > SMALL_FILE]
     for at in range(0, len(large), SCANS):
-        keep(reduce(DataFrame.unionByName, [scan(apart, [path]).limit(n) for path in large[at : at + SCANS]]))
+        heads = [scan(apart, [path]).where(F.col("__block") == 0).limit(n) for path in large[at : at + SCANS]]
+        keep(reduce(DataFrame.unionByName, heads))
     if small or not large:
-        keep(scan(spark, small) if small else local_frame(spark, [], "file_path string, value string"))
-    return spark.read.schema("file_path string, __line_id bigint, value string").parquet(place)
+        none = "file_path string, __block bigint, __line_id bigint, value string"
+        keep(scan(spark, small) if small else local_frame(spark, [], none))
+    return spark.read.schema("file_path string, __block bigint, __line_id bigint, value string").parquet(place)
 
 
 # A quote opens a field at a line's start or after a delimiter, and closes it before one.
@@ -307,7 +315,7 @@ def landing_catalog(
         files, ["brand", "table_name", "filedate"], ["modified_at", "file_name"]
     )
     listed = [(row.path, row.file_size) for row in files.select("path", "file_size").collect()]
-    heads = first_lines(head_lines(spark, listed), "file_path", ["__line_id"], HEAD_LINES)
+    heads = first_lines(head_lines(spark, listed), "file_path", ["__block", "__line_id"], HEAD_LINES)
     formats = sniff(sample_records(heads)).drop("sample")
     lines = spark.read.option("pathGlobFilter", glob).text(path)
     flags = line_flags(lines.select("value", F.col("_metadata.file_path").alias("file_path")), "file_path")

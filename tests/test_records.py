@@ -167,6 +167,32 @@ def test_heads_are_read_without_their_files(spark, tmp_path):
     assert land.head_lines(spark, []).count() == 0
 
 
+def test_heads_of_large_files_in_many_splits(spark, tmp_path, monkeypatch):
+    """Where small splits are held and the reading session cannot widen them, a large file's head
+    lines are still its first lines, in order, and its first record is the header."""
+    held = {"spark.sql.files.maxPartitionBytes": "8192", "spark.sql.files.openCostInBytes": "1"}
+    config, session_of = type(spark.conf), type(spark).newSession
+    put = config.set
+
+    def apart(self):
+        session = session_of(self)
+        for key, value in held.items():
+            put(session.conf, key, value)
+        return session
+
+    monkeypatch.setattr(type(spark), "newSession", apart)
+    monkeypatch.setattr(config, "set", lambda self, key, *a, **b: None if key in held else put(self, key, *a, **b))
+    path = tmp_path / "B 0_Items_20240131.csv"
+    lines = ["id,note"] + [f'{k},"line {k}\n{"x" * 40}"' for k in range(30_000)]
+    path.write_text("\n".join(lines) + "\n")
+    assert path.stat().st_size > land.SMALL_FILE
+    heads = land.head_lines(spark, [(str(path), path.stat().st_size)])
+    found = [r["value"] for r in heads.orderBy("__block", "__line_id").collect()]
+    assert found == "\n".join(lines).split("\n")[: land.HEAD_LINES]
+    catalog = land.landing_catalog(spark, str(tmp_path), ["Items"]).collect()
+    assert [(r["header"], r["delimiter"], r["multi_line"]) for r in catalog] == [("id,note", ",", True)]
+
+
 def _stages(spark):
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
     jvm, none = spark._jvm, spark.sparkContext._gateway.new_array(spark._jvm.double, 0)
