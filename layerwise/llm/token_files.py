@@ -8,6 +8,7 @@ ended before it and where the last one did, so documents that cross blocks are c
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import ExitStack, contextmanager
 
 import numpy as np
 import pandas as pd
@@ -16,57 +17,91 @@ from pyspark.sql import functions as F
 
 from layerwise.session import scratch_path, setting
 
-from .common import by_size
+from .common import by_size, written
 from .tokens import END_OF_DOCUMENT, encoder
 
 #: Bytes of a block. Blocks hold whole ids.
 BLOCK_BYTES = 1 << 18
 WIDTH = 2
+#: Ids are written in records of about so many bytes, whole documents each, and a file takes so many
+#: records: a file is read as one value, so a task that writes more goes on in another piece.
+RECORD_BYTES, RECORDS = 1 << 20, 16
+_END = END_OF_DOCUMENT.to_bytes(WIDTH, "little")
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1_000, size: str = "4m") -> Iterator[None]:
+    """Batches that go to Python are small within a block, so that they follow the rows and not the split."""
+    with ExitStack() as stack:
+        stack.enter_context(setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows)))
+        stack.enter_context(setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", size))
+        yield
+
+
+def _records(texts: Iterator[str], ids) -> Iterator[bytes]:
+    """The ids of texts in records of whole documents: an end between two, none after the last."""
+    held: list[bytes] = []
+    size = 0
+    for text in texts:
+        data = ids(text).tobytes()
+        if held and size + len(data) > RECORD_BYTES:
+            yield _END.join(held)
+            held, size = [], 0
+        held.append(data)
+        size += len(data) + WIDTH
+    if held:
+        yield _END.join(held)
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
-    """Ids of each text, two bytes each, and the end id after it; one flat file a task, with no
-    index. The end id stands for nothing else (``Encoder.flat_ids``). Null and empty texts are an
-    end id alone."""
+    """Ids of each text, two bytes each, and the end id after it; flat files with no index, one a
+    task or, of a task with many ids, its pieces in order. The end id stands for nothing else
+    (``Encoder.flat_ids``). Null and empty texts are an end id alone."""
 
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids = encoder(tokenizer).flat_ids
-        for frame in frames:
-            for run in by_size(frame["text"], 1 << 22):
-                yield pd.DataFrame({"value": [ids(t).tobytes() for t in run]})
+        texts = (t for frame in frames for run in by_size(frame["text"], 1 << 20) for t in run)
+        for record in _records(texts, encoder(tokenizer).flat_ids):
+            yield pd.DataFrame({"value": [record]})
 
-    _written_flat(docs.select("text").mapInPandas(encode, "value binary"), path)
+    with small_batches(docs.sparkSession):
+        _written_flat(docs.select("text").mapInPandas(encode, "value binary"), path)
 
 
 def write_named_files(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
     """As ``write_token_files``, under ``kind=ids``; the task that writes a file also writes one
     of the same part number under ``kind=names``, with a line for each document: its number in
-    the file and, unless null, its ``doc_id``."""
+    the task's files and, unless null, its ``doc_id``."""
 
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids = encoder(tokenizer).flat_ids
+        lines: list[str] = []
         number = 0
-        for frame in frames:
-            at = 0
-            for run in by_size(frame["text"], 1 << 22):
-                names = frame["doc_id"].iloc[at : at + len(run)]
-                lines = "".join(f"{i}\n" if n is None else f"{i} {n}\n" for i, n in enumerate(names, number))
-                at, number = at + len(run), number + len(run)
-                kinds = ["ids"] * len(run) + ["names"]
-                yield pd.DataFrame({"kind": kinds, "value": [*(ids(t).tobytes() for t in run), lines.encode()]})
+
+        def texts() -> Iterator[str]:
+            nonlocal number
+            for frame in frames:
+                at = 0
+                for run in by_size(frame["text"], 1 << 20):
+                    names = frame["doc_id"].iloc[at : at + len(run)]
+                    lines.extend(f"{i}\n" if n is None else f"{i} {n}\n" for i, n in enumerate(names, number))
+                    at, number = at + len(run), number + len(run)
+                    yield from run
+
+        for record in _records(texts(), encoder(tokenizer).flat_ids):
+            yield pd.DataFrame({"kind": ["ids", "names"], "value": [record, "".join(lines).encode()]})
+            lines.clear()
 
     # As text: a column of numbers with nulls would reach pandas as floats.
     both = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     # Both files of a task are open at once, so its rows are not sorted by kind.
-    with setting(docs.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", "2"):
+    with setting(docs.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", "2"), small_batches(docs.sparkSession):
         _written_flat(both.mapInPandas(encode, "kind string, value binary"), path, "kind")
 
 
 def _written_flat(flat: DataFrame, path: str, *kinds: str) -> None:
     # A binary value goes to a text file as it is; the end id is the end of the line.
-    end = END_OF_DOCUMENT.to_bytes(WIDTH, "little").decode("latin-1")
     rows = flat.select(*kinds, F.col("value").cast("string").alias("value"))
-    rows.write.partitionBy(*kinds).option("lineSep", end).text(path)
+    writer = rows.write.partitionBy(*kinds).option("lineSep", _END.decode("latin-1"))
+    writer.option("maxRecordsPerFile", RECORDS).text(path)
 
 
 def read_names(spark: SparkSession, path: str) -> DataFrame:
@@ -82,7 +117,7 @@ def read_names(spark: SparkSession, path: str) -> DataFrame:
 
 def read_blocks(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES, within: str = "") -> DataFrame:
     """``file``, ``block`` and ``ids`` (bytes) of the flat files under ``path`` whose path has
-    ``within``. A file is read by one task; its bytes are cut there, before they reach Python."""
+    ``within``. A file is one value of one task; its bytes are cut there, before they reach Python."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).where("length > 0")
     files = files.where(F.col("_metadata.file_path").contains(within))
     last = F.floor((F.col("length") - 1) / block_bytes).cast("int")
@@ -114,7 +149,9 @@ def count_tokens(blocks: DataFrame, end: int = END_OF_DOCUMENT, width: int = WID
                 }
             )
 
-    scanned = blocks.mapInPandas(scan, "file string, block int, n_ids bigint, ends array<bigint>")
+    scanned = blocks.mapInPandas(scan, "file string, block bigint, n_ids bigint, ends array<bigint>")
+    with small_batches(blocks.sparkSession, 16):  # else a batch holds the blocks of a whole split
+        scanned = written(scanned, "token-ends")
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     base = F.coalesce(F.sum("n_ids").over(before), F.lit(0))
     based = scanned.withColumn("base", base)
@@ -157,11 +194,15 @@ def count_tokens(blocks: DataFrame, end: int = END_OF_DOCUMENT, width: int = WID
 
 def document_tokens(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """Flat token files of the documents, written to the shared folder, and their counts, each
-    with the document's ``doc_id``. Files are numbered by the task that wrote them."""
+    with the document's ``doc_id``. Files are numbered by the task that wrote them; the pieces of
+    a task count as one file."""
     spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "token-files")
     write_named_files(docs, path, tokenizer)
-    part = F.regexp_extract("file", r"part-(\d+)", 1).cast("int")
-    found = count_tokens(read_blocks(spark, path, within="/kind=ids/")).withColumn("file", part)
-    names = read_names(spark, path).withColumn("file", part)
+    part = F.regexp_extract("file", r"part-(\d+)", 1)
+    piece = F.regexp_extract("file", r"[.-]c(\d+)(\.|$)", 1).cast("bigint")
+    blocks = read_blocks(spark, path, within="/kind=ids/")
+    blocks = blocks.select(part.alias("file"), (F.shiftleft(piece, 32) + F.col("block")).alias("block"), "ids")
+    found = count_tokens(blocks).withColumn("file", F.col("file").cast("int"))
+    names = read_names(spark, path).withColumn("file", part.cast("int"))
     names = names.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
     return found.join(names, ["file", "document"], "left").select("doc_id", *found.columns)

@@ -2,7 +2,7 @@ import glob
 
 import numpy as np
 import pytest
-from helpers_llm import ODD_TEXTS, no_documents, odd_documents
+from helpers_llm import LONG, ODD_TEXTS, no_documents, odd_documents
 from pyspark.sql import functions as F
 
 from layerwise.llm import materialise, token_files
@@ -109,6 +109,29 @@ def test_flat_ids_are_restored():
     assert 0 not in flat_ids and encoder().restored(flat_ids).tolist() == ids_of("Hello world! Fine! ok")
 
 
+def test_a_large_task_writes_pieces_that_count_as_one_file(spark, tmp_path, monkeypatch):
+    """A token file is read as one value, so none grows with its task's split."""
+    monkeypatch.setattr(token_files, "RECORDS", 1)
+    monkeypatch.setattr(token_files, "scratch_path", lambda _, name: str(tmp_path / name))
+    texts = [t for k in range(12) for t in (LONG + str(k), "", None, f"one {k} more!")]
+    docs = spark.createDataFrame([(k if k % 5 else None, t) for k, t in enumerate(texts)], "doc_id int, text string").coalesce(1)
+    rows = token_files.document_tokens(docs).orderBy("document").collect()
+    sizes = [len(ids_of(t)) for t in texts]
+    pieces = [len(open(f, "rb").read()) for f in glob.glob(f"{tmp_path}/token-files/kind=ids/part-*")]
+    assert len(pieces) > 2 and max(pieces) <= token_files.RECORD_BYTES and sum(pieces) == 2 * (sum(sizes) + len(sizes))
+    starts = np.cumsum([0, *(n + 1 for n in sizes)])[:-1].tolist()
+    expected = [(k if k % 5 else None, 0, k, starts[k], sizes[k], True) for k in range(len(texts))]
+    assert [tuple(r) for r in rows] == expected
+
+
+def test_batches_are_small_within_a_block_alone(spark):
+    frame = spark.range(100, numPartitions=1).mapInPandas(lambda fs: (f.assign(id=len(f)).head(1) for f in fs), "id bigint")
+    with token_files.small_batches(spark, 16):
+        within = [r[0] for r in frame.collect()]
+    assert max(within) == 16 and sum(within) == 100
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") != "16"
+
+
 # --- training order -----------------------------------------------------------------------
 
 
