@@ -8,7 +8,6 @@ ended before it and where the last one did, so documents that cross blocks are c
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import ExitStack, contextmanager
 
 import numpy as np
 import pandas as pd
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 
 from layerwise.session import scratch_path, setting
 
-from .common import by_size, written
+from .common import by_size, small_batches, written
 from .tokens import END_OF_DOCUMENT, encoder
 
 #: Bytes of a block. Blocks hold whole ids.
@@ -29,15 +28,6 @@ RECORD_BYTES, RECORDS = 1 << 20, 16
 _END = END_OF_DOCUMENT.to_bytes(WIDTH, "little")
 
 
-@contextmanager
-def small_batches(spark: SparkSession, rows: int = 1_000, size: str = "4m") -> Iterator[None]:
-    """Batches that go to Python are small within a block, so that they follow the rows and not the split."""
-    with ExitStack() as stack:
-        stack.enter_context(setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows)))
-        stack.enter_context(setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", size))
-        yield
-
-
 def _records(texts: Iterator[str], ids) -> Iterator[bytes]:
     """The ids of texts in records of whole documents: an end between two, none after the last."""
     held: list[bytes] = []
