@@ -24,7 +24,7 @@ BLOCK_BYTES = 1 << 18
 WIDTH = 2
 #: Ids are written in records of about so many bytes, whole documents each, and a file takes so many
 #: records: a file is read as one value, so a task that writes more goes on in another piece.
-RECORD_BYTES, RECORDS = 1 << 20, 16
+RECORD_BYTES, RECORDS = 1 << 20, 4
 _END = END_OF_DOCUMENT.to_bytes(WIDTH, "little")
 
 
